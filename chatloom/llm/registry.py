@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat_format, packing, sharding, simhash
+from . import chat_format, decontaminate, embedding_dedup, packing, sharding, simhash
 
 _QUERIES = {
+    "op3_embedding_dedup": embedding_dedup,
     "op6_sharding": sharding,
     "op7_simhash": simhash,
     "op8_chat_format": chat_format,
+    "op9_decontaminate": decontaminate,
     "op10_packing": packing,
 }
 
