@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, packing, sharding, simhash
+from . import chat_format, decontaminate, embedding_dedup, langid, packing, sharding, simhash, toxicity
 
 _QUERIES = {
     "op3_embedding_dedup": embedding_dedup,
+    "op4_langid": langid,
+    "op5_toxicity": toxicity,
     "op6_sharding": sharding,
     "op7_simhash": simhash,
     "op8_chat_format": chat_format,
