@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, checkpointed, table
+from .common import ascii_lower_bytes, checkpointed, table
 
 #: Characters between words, as a class and one by one. Fixed by the contract.
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -29,12 +29,14 @@ _SEPARATOR_CHARS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x
 WINDOW = 13
 #: A document is contaminated if at least one word in so many is hit.
 SHARE = 20
+#: Terms of a window that are looked up one by one, rarest first, before the window is compared.
+RARE = 3
 BROADCAST_BYTES = 32 << 20
 
 
 def words(text: Column) -> Column:
-    """The words of a text, an empty array if there are none."""
-    trimmed = F.btrim(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(_SEPARATOR_CHARS))
+    """The words of a text (their UTF-8 bytes as characters), an empty array if there are none."""
+    trimmed = F.btrim(ascii_lower_bytes(F.coalesce(text, F.lit(""))), F.lit(_SEPARATOR_CHARS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SEPARATORS))
 
 
@@ -51,34 +53,43 @@ def _small(df: DataFrame, is_small: bool) -> DataFrame:
 
 
 def postings(docs: DataFrame, terms: DataFrame, small: bool, key_cols: list[str]) -> DataFrame:
-    """The index: key_cols, tokens, pos (from 0) and term, for every occurrence of a term in `terms`."""
-    return docs.select(*key_cols, "tokens", F.posexplode("tokens").alias("pos", "term")).join(_small(terms, small), "term")
+    """The index: key_cols, tokens, pos (from 0) and term, for every occurrence of a term in `terms`.
+
+    Nothing here or in the matches below may leave generated code (no lambdas): rows would be
+    copied with their token arrays for every word. The outer explode keeps the optimizer from
+    inferring a filter that splits the text again."""
+    return docs.select(*key_cols, "tokens", F.posexplode_outer("tokens").alias("pos", "term")).join(_small(terms, small), "term")
 
 
 def by_rarity(windows: DataFrame, docs: DataFrame, small: bool) -> DataFrame:
-    """Adds to each window `rare` (its rarest term), `rare_at` and `others`, the other terms rarest first."""
+    """Adds to each window its rarest terms rare0, rare1, ... and their offsets at0, at1, ..."""
     placed = windows.select("window_id", F.posexplode("terms").alias("at", "term"))
     vocabulary = placed.select("term").distinct()
-    seen = docs.select(F.explode("tokens").alias("term")).join(_small(vocabulary, small), "term").groupBy("term").agg(F.count("*").alias("n"))
+    seen = docs.select(F.explode_outer("tokens").alias("term")).join(_small(vocabulary, small), "term").groupBy("term").agg(F.count("*").alias("n"))
     ranked = placed.join(seen, "term")  # a window with a term that occurs nowhere cannot match
     order = ranked.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("order"))
     full = windows.join(order, "window_id").where(F.size("order") == F.size("terms"))
-    return full.select("window_id", "terms", "items", F.col("order")[0]["term"].alias("rare"), F.col("order")[0]["at"].alias("rare_at"), F.slice("order", 2, 1_000_000).alias("others"))
+    nth = lambda k: F.get("order", F.lit(k))
+    rare = [(nth(k)["term"].alias(f"rare{k}"), nth(k)["at"].alias(f"at{k}")) for k in range(RARE)]
+    return full.select("window_id", "terms", "items", *(c for pair in rare for c in pair))
 
 
 def exact_matches(docs: DataFrame, windows: DataFrame, small: bool, key_cols: list[str]) -> DataFrame:
     """key_cols, start, length, window_id, items: every occurrence of a window (from by_rarity)."""
-    plan = windows.select(F.col("rare").alias("term"), "rare_at", "others", F.size("terms").alias("length"), "window_id", "items")
-    start = F.col("pos") - F.col("rare_at")
-    fits = (start >= 0) & F.forall("others", lambda o: F.get("tokens", start + o["at"]) == o["term"])
+    plan = windows.withColumn("length", F.size("terms")).withColumnRenamed("rare0", "term")
+    start = F.col("pos") - F.col("at0")
+    fits = start >= 0
+    for k in range(1, RARE):  # the next lists, at their adjusted offsets
+        fits &= F.coalesce(F.get("tokens", start + F.col(f"at{k}")) == F.col(f"rare{k}"), F.col(f"at{k}").isNull())
+    fits &= F.slice("tokens", F.greatest(start, F.lit(0)) + 1, F.col("length")) == F.col("terms")  # and all others
     return postings(docs, plan, small, key_cols).where(fits).select(*key_cols, start.alias("start"), "length", "window_id", "items")
 
 
 def proximity_matches(docs: DataFrame, windows: DataFrame, small: bool, key_cols: list[str], slop: int = 5, share: float = 0.8) -> DataFrame:
     """As exact_matches, but any order within `slop` more words on either side of the rarest term's
     window, for windows of which at least `share` of the distinct terms occur there."""
-    plan = windows.select(F.col("rare").alias("term"), "rare_at", "terms", F.size("terms").alias("length"), "window_id", "items")
-    start = F.greatest(F.col("pos") - F.col("rare_at") - slop, F.lit(0))
+    plan = windows.select(F.col("rare0").alias("term"), "at0", "terms", F.size("terms").alias("length"), "window_id", "items")
+    start = F.greatest(F.col("pos") - F.col("at0") - slop, F.lit(0))
     near = F.slice("tokens", start + 1, F.col("length") + 2 * slop)
     found = F.size(F.array_intersect("terms", near)) >= F.ceil(F.size(F.array_distinct("terms")) * share)
     return postings(docs, plan, small, key_cols).where(found).select(*key_cols, start.alias("start"), "length", "window_id", "items")
