@@ -1,7 +1,7 @@
 """Best-fit packing of tokenized documents into sequences of a fixed capacity.
 
-Tokenizing is an Arrow map: a text is cut at ASCII white space, over which no pre-token reaches,
-and each distinct chunk is encoded once per worker (a bounded cache). Packing needs only how
+Tokenizing is an Arrow map: texts are cut at white space, over which no pre-token reaches, and
+each distinct chunk is encoded once per worker (a bounded cache). Packing needs only how
 many pieces there are of each length, at most `capacity` numbers, so it is planned on the driver
 whatever the corpus: pieces above half the capacity each open a sequence and take the largest
 fitting partner above one third (greedy matching, at most two such pieces a sequence), leftover
@@ -17,12 +17,12 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +32,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Distinct chunks that a worker keeps; the cache starts anew when it is full.
 CACHE = 600_000
+#: Texts that are encoded together.
+ROWS = 512
 
 _tokenizers: dict = {}
 
@@ -43,7 +45,13 @@ def default_tokenizer_path() -> str:
 
 
 class ChunkEncoder:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of whole texts. Each distinct chunk between white space is encoded once.
+
+    Spaces are also put between a letter and an ASCII sign other than an apostrophe, and A-Z are
+    lower-cased, which no id depends on but which leaves fewer distinct chunks. Texts that hold a
+    combining mark (which may compose over such a cut) or the start of a special token are encoded
+    whole instead.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -60,27 +68,39 @@ class ChunkEncoder:
         cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
         return {c: ids[cuts[i] : cuts[i + 1]] for i, c in enumerate(chunks)}
 
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        chunks = text.translate(_SPACES).split(" ") if _OTHER_SPACE.search(text) else text.split(" ")
-        distinct = set(chunks)
-        missing = list(distinct.difference(self.known))
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        missing = [c for c in chunks if c not in self.known]
         if len(self.known) + len(missing) > CACHE:
-            self.known, missing = {}, list(distinct)
-        new = self._learn(missing) if missing else {}
-        self.known.update(new)
-        out = b"".join([self.known[c] for c in chunks])
+            self.known, missing = {}, chunks
+        for at in range(0, len(missing), 10_000):
+            self.known.update(self._learn(missing[at : at + 10_000]))
+        found = [self.known[c] for c in chunks]
         for c in missing:
             if len(c) > 64:  # long chunks hardly recur
                 del self.known[c]
+        return found
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit bytes; none for a null."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "\\p{M}"))
+        plain = pc.replace_substring_regex(pc.ascii_lower(pc.if_else(odd, "", texts)), "[\\t-\\r]", " ")
+        lists = pc.split_pattern(pc.replace_substring_regex(plain, "(\\p{L})([!-&(-/:-@\\[-`{-~])", "\\1 \\2"), " ")
+        chunks = lists.flatten().dictionary_encode()
+        parts = self._ids_of(chunks.dictionary.to_pylist())
+        length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat, start = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(length) - length
+        which = chunks.indices.to_numpy(zero_copy_only=False)
+        n = length[which]
+        upto = np.cumsum(n)
+        ids = flat[np.repeat(start[which] - upto + n, n) + np.arange(len(n) and upto[-1])]
+        ends = np.concatenate([[0], upto])[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        out = [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
-_OTHER_SPACE = re.compile("[\t-\r]")
-_SPACES = str.maketrans("\t\n\x0b\x0c\r", "     ")
-
-
 def encoder(path: str) -> ChunkEncoder:
     if path not in _tokenizers:
         import os
@@ -98,8 +118,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         encode = encoder(tokenizer_path)
         for batch in batches:
             which, number, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                whole = encode(text.as_py()) + end
+            for i, ids_of in enumerate(x for at in range(0, batch.num_rows, ROWS) for x in encode.batch(batch.column(1).slice(at, ROWS))):
+                whole = ids_of + end
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     which.append(i)
