@@ -163,17 +163,17 @@ def training_sample(rows: DataFrame, per_language: int = PER_LANGUAGE, max_chars
     return texts, labels
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns `keep` with lang_pred and score, for every row."""
+def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns `keep` with the predicted language and its score under `names`, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by landmarks x n-gram bits
 
     def run(batches):
         for batch in batches:
-            names, scores = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores)], names=[*keep, "lang_pred", "score"])
+            found, scores = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores)], names=[*keep, *names])
 
-    chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("_text"))
-    schema = chosen.drop("_text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
+    chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("__text"))
+    schema = chosen.drop("__text").withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
     return chosen.mapInArrow(run, schema)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, embedding_dedup, langid, packing, sharding, simhash, toxicity
+from . import chat_format, decontaminate, embedding_dedup, langid, license_scan, line_dedup, packing, sharding, simhash, toxicity
 
 _QUERIES = {
+    "op1_line_dedup": line_dedup,
+    "op2_license_scan": license_scan,
     "op3_embedding_dedup": embedding_dedup,
     "op4_langid": langid,
     "op5_toxicity": toxicity,

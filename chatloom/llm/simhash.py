@@ -53,15 +53,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long): the fingerprint's 64 bits as a signed number."""
-    schema = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("fp")).schema
+    """(doc_id, text_hash, fp long): the fingerprint's 64 bits as a signed number."""
 
     def run(batches):
         for batch in batches:
-            prints = np.fromiter((fingerprint(x.as_py()) for x in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            prints = np.fromiter((fingerprint(x.as_py()) for x in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
+    text = F.col(text_col)
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.cast("binary").alias("text"))
+    return chosen.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def links(prints: DataFrame, radius: int = 2) -> DataFrame:
@@ -76,14 +77,33 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp long, component_id (the smallest doc_id of its component)."""
+    """One row per document: doc_id, text_hash, fp long, component_id (the smallest doc_id of its
+    component) and root (a fingerprint that names the component even if it has no doc_id)."""
     prints = checkpointed(fingerprints(docs, id_col, text_col))
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(prints, radius)).withColumnRenamed("node", "fp")
     linked = roots.join(classes, "fp")
-    named = roots.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    labels = classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    named = roots.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    labels = classes.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id"))
+    return prints.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs without near-duplicates: of each component the row with the smallest doc_id
+    (then text hash; null ids last), and one of rows that repeat both."""
+    found = near_duplicates(docs, radius, id_col, text_col).select("doc_id", "text_hash", "root")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    ranked = found.withColumn("rank", rank)
+    leads = ranked.groupBy("root").agg(F.min("rank").alias("lead"))
+    gone = ranked.join(leads, "root").where("rank <> lead").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of")).distinct()
+    hashed = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    kept = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (hashed == F.col("__of")), "left_anti")
+
+    repeated = checkpointed(ranked.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of")))
+    if repeated.isEmpty():
+        return kept
+    same = kept[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(kept[text_col], F.lit(""))) == F.col("__of"))
+    return kept.join(repeated, same, "left_anti").union(kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -1,13 +1,61 @@
-"""A training-data pipeline over `documents`, one operator a stage."""
+"""A training-data pipeline over `documents`: each stage calls one operator and passes on what it keeps.
+
+1. language: documents without a recognisable language go (no letter, or a score under MIN_SCORE).
+2. lines: lines that repeat earlier ones go from the texts; a document of which nothing stays goes.
+3. copies: of each SimHash component one document stays, the one with the smallest id.
+4. benchmark: contaminated documents go.
+5. packing: the rest is packed; the result is one row per piece.
+
+All stages but the last return the columns of documents, in their order; n_chars follows the text.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chatloom.llm import decontaminate, langid, line_dedup, packing, simhash
+from chatloom.llm.common import table
+
+#: A prediction below this is taken as no language at all; clean texts score far higher.
+MIN_SCORE = 0.25
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = langid.identify(docs, langid.trained(docs), docs.columns, names=("__lang_pred", "__score"))
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(docs, keep=docs.columns)
+    stays = found.where((F.col("n_exact") + F.col("n_near") == 0) | F.coalesce(F.trim("kept_text") != "", F.lit(False)))
+    new = {"text": F.col("kept_text"), "n_chars": F.coalesce(F.length("kept_text"), F.lit(0))}
+    return stays.select(*(new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col("others")[c].alias(c) for c in docs.columns))
+
+
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of")).distinct()
+    same = docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(docs.text, F.lit(""))) == F.col("__of"))
+    return docs.join(bad, same, "left_anti")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [("language", language), ("lines", lines), ("copies", copies), ("benchmark", benchmark), ("packing", packed)]
+
+#: The language model and the tokenizer are not SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
