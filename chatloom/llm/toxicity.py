@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import checkpointed, table
 
 PER_LABEL = 1500
 MAX_FIT_CHARS = 20_000
@@ -198,14 +198,20 @@ def fit(toxic: list[str], clean: list[str], toxic_share: float | None = None) ->
     return model
 
 
-def training_sample(rows: DataFrame, per_label: int = PER_LABEL, max_chars: int = MAX_FIT_CHARS) -> tuple[list[str], list[str], float]:
-    """rows (label, text): at most per_label distinct texts of label 1 and of label 0, and the share of label 1."""
-    usable = rows.where(F.col("label").isin(0, 1) & F.col("text").isNotNull() & (F.length("text") <= max_chars)).withColumn("h", F.xxhash64("text"))
-    counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.approx_count_distinct("h").alias("n")).collect()}
-    share = F.when(F.col("label") == 1, min(1.0, 1.5 * per_label / max(counts.get(1, 1), 1))).otherwise(min(1.0, 1.5 * per_label / max(counts.get(0, 1), 1)))
-    picked = usable.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).groupBy("label", "h").agg(F.first("text").alias("text")).collect()
-    by = {k: [t for _, t in sorted((r["h"], r["text"]) for r in picked if r["label"] == k)[:per_label]] for k in (0, 1)}
-    return by[1], by[0], counts.get(1, 0) / max(1, sum(counts.values()))
+def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_chars: int = MAX_FIT_CHARS) -> tuple[list[str], list[str], float]:
+    """docs (doc_id, text), labels (doc_id, label): at most per_label distinct texts of label 1 and of
+    label 0, and the share of label 1. Only ids and hashes are joined; texts are read for the chosen."""
+    slim = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", F.xxhash64("text").alias("h"))
+    known = slim.join(labels.where(F.col("label").isin(0, 1)), "doc_id").groupBy("label", "h").agg(F.min("doc_id").alias("doc_id"))
+    known = checkpointed(known)
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = [r for k in counts for r in known.where(F.col("label") == k).orderBy("h", "doc_id").limit(per_label).collect()]
+    if not chosen:
+        return [], [], 0.0
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"], r["h"]) for r in chosen], "doc_id long, label int, h long")  # 2 * per_label rows
+    found = docs.join(F.broadcast(ids), "doc_id").where(F.xxhash64("text") == F.col("h")).groupBy("label", "h").agg(F.first("text").alias("text")).collect()
+    by = {k: [t for _, t in sorted((r["h"], r["text"]) for r in found if r["label"] == k)] for k in (0, 1)}
+    return by[1], by[0], counts.get(1, 0) / sum(counts.values())
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -225,7 +231,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     from .langid import held_out
 
     known = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out(F.col("doc_id"), 4, 2))
-    return fit(*training_sample(docs.select("doc_id", "text").join(known, "doc_id").select("label", "text")))
+    return fit(*training_sample(docs.select("doc_id", "text"), known))
 
 
 def query(spark, sf_dir) -> DataFrame:
