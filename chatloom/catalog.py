@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .plans import queries as _plans
+
 
 def queries() -> dict:
-    return {}
+    return dict(_plans.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(_plans.ORACLES)
