@@ -58,7 +58,7 @@ def whole_json(spark: SparkSession, path: str | list[str], max_bytes: int = MAX_
     files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("_size"))
     parsed = files.where(F.col("_size") <= max_bytes).withColumn("_v", F.try_parse_json("value"))
     listed = F.try_variant_get("_v", "$", "array<variant>")
-    items = F.when(F.col("_v").isNull(), F.array(F.col("value"))).otherwise(F.coalesce(F.transform(listed, F.to_json), F.array(F.to_json("_v"))))
+    items = F.when(F.col("_v").isNull(), F.array(F.col("value"))).otherwise(F.coalesce(F.transform(listed, lambda x: F.to_json(x)), F.array(F.to_json("_v"))))
     return parsed.select("file_path", F.posexplode(items).alias("line_no", "raw"))
 
 
@@ -66,7 +66,7 @@ def array_or_lines(spark: SparkSession, path: str, limit: int | None = None) ->
     """A file whose first character is '[' is one array, any other JSON lines."""
     files = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
     is_list = F.startswith(F.ltrim("value"), F.lit("["))
-    items = F.when(is_list, F.transform(F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>"), F.to_json)).otherwise(F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != ""))
+    items = F.when(is_list, F.transform(F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>"), lambda x: F.to_json(x))).otherwise(F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != ""))
     rows = files.select("file_path", F.posexplode(items).alias("line_no", "raw"))
     return rows if limit is None else rows.where(F.col("line_no") < limit)
 
