@@ -62,21 +62,21 @@ def postings(docs: DataFrame, terms: DataFrame, small: bool, key_cols: list[str]
 
 
 def by_rarity(windows: DataFrame, docs: DataFrame, small: bool) -> DataFrame:
-    """Adds to each window its rarest terms rare0, rare1, ... and their offsets at0, at1, ..."""
+    """Adds `order` to each window: its terms that occur in the corpus, struct<n, at, term>, rarest first."""
     placed = windows.select("window_id", F.posexplode("terms").alias("at", "term"))
     vocabulary = placed.select("term").distinct()
     seen = docs.select(F.explode_outer("tokens").alias("term")).join(_small(vocabulary, small), "term").groupBy("term").agg(F.count("*").alias("n"))
-    ranked = placed.join(seen, "term")  # a window with a term that occurs nowhere cannot match
+    ranked = placed.join(seen, "term")
     order = ranked.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("order"))
-    full = windows.join(order, "window_id").where(F.size("order") == F.size("terms"))
-    nth = lambda k: F.get("order", F.lit(k))
-    rare = [(nth(k)["term"].alias(f"rare{k}"), nth(k)["at"].alias(f"at{k}")) for k in range(RARE)]
-    return full.select("window_id", "terms", "items", *(c for pair in rare for c in pair))
+    return windows.join(order, "window_id").select("window_id", "terms", "items", "order")
 
 
 def exact_matches(docs: DataFrame, windows: DataFrame, small: bool, key_cols: list[str]) -> DataFrame:
     """key_cols, start, length, window_id, items: every occurrence of a window (from by_rarity)."""
-    plan = windows.withColumn("length", F.size("terms")).withColumnRenamed("rare0", "term")
+    nth = lambda k: F.get("order", F.lit(k))
+    rare = [c for k in range(RARE) for c in (nth(k)["term"].alias(f"rare{k}"), nth(k)["at"].alias(f"at{k}"))]
+    whole = windows.where(F.size("order") == F.size("terms"))  # a window with a term that occurs nowhere cannot match
+    plan = whole.select("window_id", "terms", "items", F.size("terms").alias("length"), *rare).withColumnRenamed("rare0", "term")
     start = F.col("pos") - F.col("at0")
     fits = start >= 0
     for k in range(1, RARE):  # the next lists, at their adjusted offsets
@@ -86,13 +86,17 @@ def exact_matches(docs: DataFrame, windows: DataFrame, small: bool, key_cols: li
 
 
 def proximity_matches(docs: DataFrame, windows: DataFrame, small: bool, key_cols: list[str], slop: int = 5, share: float = 0.8) -> DataFrame:
-    """As exact_matches, but any order within `slop` more words on either side of the rarest term's
-    window, for windows of which at least `share` of the distinct terms occur there."""
-    plan = windows.select(F.col("rare0").alias("term"), "at0", "terms", F.size("terms").alias("length"), "window_id", "items")
-    start = F.greatest(F.col("pos") - F.col("at0") - slop, F.lit(0))
+    """As exact_matches, but the terms may stand in any order, within `slop` more words on either side,
+    and `share` of the distinct terms is enough. So many of the rarest terms are looked up that a
+    match cannot lack them all."""
+    distinct = F.size(F.array_distinct("terms"))
+    enough = F.ceil(distinct * share).cast("int")
+    first = F.slice("order", F.lit(1), F.greatest(F.size("terms") - enough + 1 - (F.size("terms") - F.size("order")), F.lit(0)))
+    plan = windows.select("window_id", "terms", "items", enough.alias("enough"), F.size("terms").alias("length"), F.inline(first)).select("window_id", "terms", "items", "enough", "length", "term", "at")
+    start = F.greatest(F.col("pos") - F.col("at") - slop, F.lit(0))
     near = F.slice("tokens", start + 1, F.col("length") + 2 * slop)
-    found = F.size(F.array_intersect("terms", near)) >= F.ceil(F.size(F.array_distinct("terms")) * share)
-    return postings(docs, plan, small, key_cols).where(found).select(*key_cols, start.alias("start"), "length", "window_id", "items")
+    found = F.size(F.array_intersect("terms", near)) >= F.col("enough")
+    return postings(docs, plan, small, key_cols).where(found).select(*key_cols, start.alias("start"), "length", "window_id", "items").distinct()
 
 
 def _covered(spans: Column) -> Column:
