@@ -49,7 +49,10 @@ def _letters() -> np.ndarray:
 def _codes(text: str) -> np.ndarray:
     """Lower-cased characters, each run of other than letters as one space; empty without letters."""
     raw = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    codes = _letters()[np.minimum(raw, 0xFFFF)] if len(raw) and raw.max() < 1 << 16 else np.where(raw < 1 << 16, _letters()[np.minimum(raw, 0xFFFF)], raw)
+    codes = _letters()[np.minimum(raw, 0xFFFF)]
+    if len(raw) and raw.max() > 0xFFFF:
+        far, at = np.unique(raw[raw > 0xFFFF], return_inverse=True)
+        codes[raw > 0xFFFF] = np.array([c if chr(c).isalpha() else _SPACE for c in far.tolist()], np.uint32)[at]
     if not (codes != _SPACE).any():
         return codes[:0]
     codes = np.concatenate([[np.uint32(_SPACE)], codes, [np.uint32(_SPACE)]]).astype(np.uint32)

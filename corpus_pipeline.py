@@ -22,7 +22,10 @@ MIN_SCORE = 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs, langid.trained(docs), docs.columns, names=("__lang_pred", "__score"))
+    model = langid.trained(docs)
+    if not model.languages:  # nothing to learn from: only texts without a letter go
+        return docs.where(F.coalesce(F.rlike("text", F.lit("\\p{L}")), F.lit(False)))
+    found = langid.identify(docs, model, docs.columns, names=("__lang_pred", "__score"))
     return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
 
 
