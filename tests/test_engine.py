@@ -291,3 +291,26 @@ def test_stream_equals_batch(spark, tmp_path):
     format_stream(spark, str(source), str(out), str(tmp_path / "cp")).awaitTermination(120)
     kept = spark.read.parquet(f"{out}/records")
     assert kept.count() == 12 and kept.select("dedup_key").distinct().count() == 12
+
+
+def test_inventory(spark, tmp_path):
+    from chatloom.operators import inventory
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.jsonl").write_text('{"b": 1, "a": 2}\n{"b": 2}\n')
+    (tmp_path / "d" / "b.json").write_text('[{"x": 1}]')
+    (tmp_path / "d" / "c.csv").write_text("q\n1\n2\n3\n")
+    (tmp_path / "d" / "d.bin").write_text("xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx")
+    catalog = readers.file_catalog(spark, str(tmp_path / "d"))
+    counts = {r.file_path.rsplit("/", 1)[-1]: r.records for r in inventory.record_counts(spark, catalog).collect()}
+    assert counts == {"a.jsonl": 2, "b.json": 1, "c.csv": 3} and inventory.has_files(catalog)
+    assert inventory.field_names(spark, str(tmp_path / "d" / "a.jsonl")) == ["a", "b"]
+    assert inventory.format_histogram(catalog, F.lit("x")).first().formats[".bin"] == 1
+    small, large = inventory.pruned(catalog, 40)
+    assert (small.count(), large.count()) == (3, 1)
+    assert inventory.directory_sizes(catalog, F.lit("d")).first().files == 4
+    (tmp_path / "cache.json").write_text('[{"id": "a/b", "stars": 5, "reasons": []}, {"id": "c/d", "stars": 1, "reasons": ["low_stars"]}]')
+    plan = spark.createDataFrame([("a/b",), ("c/d",)], "id string")
+    got = {r.id: (r.meta_source, r.stars) for r in inventory.with_cached(plan, inventory.metadata_cache(spark, str(tmp_path / "cache.json")), "id", ["stars"]).collect()}
+    assert got == {"a/b": ("cache", 5), "c/d": ("lookup", None)}
+    assert "updated" in inventory.status({"ok": 1}, str(tmp_path / "s.json")) and "## sizes" in inventory.report("t", {"sizes": inventory.directory_sizes(catalog, F.lit("d"))})
