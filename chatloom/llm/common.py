@@ -16,7 +16,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    shared = sc.getConf().get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
@@ -40,6 +40,11 @@ def ascii_lower_bytes(text: Column) -> Column:
     return F.lower(F.decode(text.cast("binary"), "ISO-8859-1"))
 
 
+def let(value: Column, body) -> Column:
+    """body(x) with x bound to the value, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def wide_hash(*cols: Column) -> list[Column]:
     """Two independent 64-bit hashes: at trillions of keys one alone would collide."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(7919), *cols)]

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table, wide_hash
+from .common import checkpointed, let, table, wide_hash
 
 #: ASCII white space within a line.
 BLANKS = " \t\x0b\x0c\r"
@@ -142,20 +142,26 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, near: bool = True,
     kept = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.when(~F.col("near"), F.col("line_no"))).alias("own"), F.count_if("near").alias("n_near"))
     kept = kept.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "own", "n_near")
 
-    joined = base.join(kept, base.doc_id.eqNullSafe(kept._d) & (base.text_hash == kept._t), "left").withColumn("all", F.split("text", "\n"))
-    layout = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.length(_trimmed(F.get("all", i))) < min_chars)
-    own = F.coalesce("own", F.array().cast("array<int>"))
-    stay = joined.withColumn("layout", layout).withColumn("stay", F.array_sort(F.concat(own, "layout")))
-    n_near = F.coalesce("n_near", F.lit(0).cast("long"))
-    return stay.select(
-        "doc_id",
-        "text_hash",
-        F.greatest(F.size("all"), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(F.size("all") - F.size("stay") - n_near).alias("n_exact"),
-        n_near.alias("n_near"),
-        F.array_join(F.transform("stay", lambda i: F.get("all", i)), "\n").alias("kept_text"),
-        *(["others"] if keep else []),
-    )
+    joined = base.join(kept, base.doc_id.eqNullSafe(kept._d) & (base.text_hash == kept._t), "left")
+    n_near, own = F.coalesce("n_near", F.lit(0).cast("long")), F.coalesce("own", F.array().cast("array<int>"))
+
+    def result(all_lines: Column) -> Column:
+        layout = F.filter(F.sequence(F.lit(0), F.size(all_lines) - 1), lambda i: F.length(_trimmed(F.get(all_lines, i))) < min_chars)
+        return let(
+            F.array_sort(F.concat(own, layout)),
+            lambda stay: F.struct(
+                F.size(all_lines).cast("long").alias("n_lines"),
+                (F.size(all_lines) - F.size(stay) - n_near).alias("n_exact"),
+                n_near.alias("n_near"),
+                F.array_join(F.transform(stay, lambda i: F.get(all_lines, i)), "\n").alias("kept_text"),
+            ),
+        )
+
+    zero = F.lit(0).cast("long")
+    none = F.struct(zero.alias("n_lines"), zero.alias("n_exact"), zero.alias("n_near"), F.lit(None).cast("string").alias("kept_text"))
+    # The generator keeps filters and projections above from computing all this again.
+    once = F.inline(F.array(F.when(F.col("text").isNull(), none).otherwise(let(F.split("text", "\n"), result))))
+    return joined.select("doc_id", "text_hash", *(["others"] if keep else []), once)
 
 
 def query(spark, sf_dir) -> DataFrame:
