@@ -79,6 +79,13 @@ def dedup_key(messages: Column, seed: int = 42) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}{UNIT}"), canonical_text(messages)), 256)
 
 
+def multiset_digest(key: Column) -> Column:
+    """An aggregate: the digest of a bag of hex keys, the same in any order. Sums of four 60-bit parts and
+    the count combine before their shuffle, so a group of any size costs one row."""
+    parts = [F.sum(F.conv(F.substring(key, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    return F.when(F.count(key) > 0, F.sha2(F.concat_ws("|", F.count(key).cast("string"), *parts), 256))
+
+
 def digest_bucket(key: Column, buckets: int = 1_000_000) -> Column:
     """The first eight digest bytes, big-endian and unsigned, modulo buckets."""
     return (F.conv(F.substring(key, 1, 16), 16, 10).cast("decimal(20,0)") % buckets).cast("int")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import ordinals
+
 
 def mix_plan(sizes: DataFrame, name: str = "dataset", size: str = "n") -> DataFrame:
     """One row a dataset: n, ratio, whole, whole_rows, extra, rank and the totals of the mix."""
@@ -41,9 +43,8 @@ def jitter(seed: int, *cols: Column) -> Column:
 def mixed(rows: DataFrame, plan: DataFrame, dataset: str, order: list[str], seed: int = 42) -> DataFrame:
     """Adds `part` ('whole' or 'extra') and `mix_key`, by which the mix is sorted: in the whole part
     (position + jitter) / whole_rows, so each dataset is spread over (0, 1); extras come after."""
-    ordinal = F.row_number().over(Window.partitionBy(dataset).orderBy(*order)) - 1
     small = F.broadcast(plan.select(F.col("dataset").alias(dataset), "n", "whole_rows", "rank"))  # one row a dataset
-    placed = rows.withColumn("_ord", ordinal).join(small, dataset)
+    placed = ordinals(rows, "_ord", [dataset], order).join(small, dataset)
     inside = F.col("_ord") < F.col("whole_rows")
     early = (F.col("_ord") + jitter(seed, F.col(dataset), F.col("_ord"))) / F.col("whole_rows")
     late = 2 + F.col("rank") + F.col("_ord") / F.col("n")

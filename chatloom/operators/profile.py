@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
-from ..functions.text import dedup_key, path_suffix, redact
+from ..functions.text import dedup_key, multiset_digest, path_suffix, redact
 from .validate import REJECTS, reason_group, schema_family
 
 # Keys tried for a preview, in order.
@@ -75,16 +75,16 @@ def skip_histogram(log: DataFrame, reason: str = "reason") -> DataFrame:
     return histogram(log.select(reason_group(F.col(reason)).alias("reason")), "reason")
 
 
-def manifest(annotated: DataFrame, by: list[str], order: list[str] | None = None) -> DataFrame:
-    """Counters of every group and a fingerprint of the accepted records that no order changes: the
-    digest of their sorted keys, combined in two levels so that no group meets in one task."""
-    counts = annotated.groupBy(*by).agg(
-        F.count("*").alias("raw"), F.count_if(F.col("reject").isNull()).alias("accepted"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "val").alias("val"), *(F.count_if(F.col("reject") == r).alias(r) for r in REJECTS)
+def manifest(annotated: DataFrame, by: list[str]) -> DataFrame:
+    """Counters of every group and a fingerprint of the accepted records that no order changes."""
+    return annotated.groupBy(*by).agg(
+        F.count("*").alias("raw"),
+        F.count_if(F.col("reject").isNull()).alias("accepted"),
+        F.count_if(F.col("split") == "train").alias("train"),
+        F.count_if(F.col("split") == "val").alias("val"),
+        *(F.count_if(F.col("reject") == r).alias(r) for r in REJECTS),
+        multiset_digest(F.when(F.col("reject").isNull(), F.col("dedup_key"))).alias("fingerprint"),
     )
-    keys = annotated.where(F.col("reject").isNull()).select(*by, "dedup_key", F.substring("dedup_key", 1, 3).alias("_bin"))
-    bins = keys.groupBy(*by, "_bin").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("dedup_key")), ""), 256).alias("_d"))
-    prints = bins.groupBy(*by).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bin", "_d"))), lambda x: x["_d"]), ""), 256).alias("fingerprint"))
-    return counts.join(prints, by, "left")
 
 
 def with_total(df: DataFrame, by: str, *sums: str) -> DataFrame:

@@ -14,6 +14,22 @@ def head(rows: DataFrame, n: int, order: list, by: list[str] | None = None) -> D
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
 
 
+def ordinals(rows: DataFrame, name: str, by: list[str], order: list[str]) -> DataFrame:
+    """Adds each row's place in its group, from 0. Two levels, so that a group in most of the rows is
+    spread: range partitions number their own rows of a group, and the counts of earlier partitions,
+    one row a partition and group, are added. Rows equal in `order` are numbered in any order."""
+    parts = rows.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id())
+    local = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order))
+    counts = parts.groupBy("_part", *by).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part"))
+    before = counts.select(F.col("_part").alias("_p"), *(F.col(c).alias(f"_by_{c}") for c in by), (upto - F.col("_n")).alias("_before"))
+    numbered = parts.withColumn("_local", local)
+    same = numbered["_part"] == before["_p"]
+    for c in by:
+        same = same & numbered[c].eqNullSafe(before[f"_by_{c}"])
+    return numbered.join(before, same).withColumn(name, F.col("_before") + F.col("_local") - 1).select(*rows.columns, name)
+
+
 def byte_budget(rows: DataFrame, budget: int, order: list[str], size: Column) -> DataFrame:
     """The rows written until the budget is reached: those whose preceding rows sum to less than it.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import dedup_key, human_bytes, message, normalize, record, redact, size_bytes, split_of, total_chars
+from ..functions.text import dedup_key, human_bytes, message, multiset_digest, normalize, record, redact, size_bytes, split_of, total_chars
 from ..operators import adapters, dedup, joins, mix, profile, template, validate, windows
 from ..session import table
 from ..sources.readers import is_priority, priority_walk
@@ -222,11 +222,12 @@ def doc_split_train_val(spark, sf_dir):
     return rows.groupBy("lang").agg(F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "val").alias("val"))
 
 
-@query(_DOC + """, b AS (SELECT lang, substr(key, 1, 3) AS bin, sha256(string_agg(key, '' ORDER BY key)) AS d FROM s WHERE reject IS NULL GROUP BY ALL),
-f AS (SELECT lang, sha256(string_agg(d, '' ORDER BY bin)) AS fingerprint FROM b GROUP BY lang)
-SELECT lang, count(*) AS raw, count(*) FILTER (reject IS NULL) AS accepted, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val,
-  count(*) FILTER (reject = 'too_short') AS too_short, count(*) FILTER (reject = 'too_long') AS too_long, count(*) FILTER (reject = 'duplicate') AS duplicate, any_value(fingerprint) AS fingerprint
-FROM s LEFT JOIN f USING (lang) GROUP BY lang""")
+_BAG = "sha256(count({k}) || '|' || " + " || '|' || ".join(f"sum(('0x' || substr({{k}}, {1 + 15 * i}, 15))::UBIGINT::HUGEINT)" for i in range(4)) + ")"
+
+
+@query(_DOC + """SELECT lang, count(*) AS raw, count(*) FILTER (reject IS NULL) AS accepted, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val,
+  count(*) FILTER (reject = 'too_short') AS too_short, count(*) FILTER (reject = 'too_long') AS too_long, count(*) FILTER (reject = 'duplicate') AS duplicate, """ + _BAG.format(k="ok") + """ AS fingerprint
+FROM (SELECT *, CASE WHEN reject IS NULL THEN key END AS ok FROM s) GROUP BY lang""")
 def doc_manifest(spark, sf_dir):
     return profile.manifest(_doc_annotated(spark, sf_dir), ["lang"]).select("lang", "raw", "accepted", "train", "val", "too_short", "too_long", "duplicate", "fingerprint")
 
@@ -283,10 +284,9 @@ def doc_first_k_check(spark, sf_dir):
     return windows.head(rows, 3, [F.col("n_chars").desc(), "doc_id"], ["source", "lang"]).drop("n_chars")
 
 
-@query("SELECT lang, sha256(string_agg(sha256(text), '' ORDER BY doc_id)) AS digest, count(*) AS n FROM documents GROUP BY lang")
+@query("SELECT lang, " + _BAG.format(k="k") + " AS digest, count(*) AS n FROM (SELECT lang, sha256(text) AS k FROM documents) GROUP BY lang")
 def doc_content_digest(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("lang", F.struct("doc_id", F.sha2("text", 256).alias("d")).alias("r"))
-    return rows.groupBy("lang").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["d"]), ""), 256).alias("digest"), F.count("*").alias("n"))
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(multiset_digest(F.sha2("text", 256)).alias("digest"), F.count("*").alias("n"))
 
 
 @query("""SELECT doc_id, 'q' || (doc_id % 7) AS user_text, string_agg(i || '. ' || trim(s), chr(10) ORDER BY i) AS assistant_text FROM (

@@ -39,11 +39,15 @@ def skipped_files(catalog: DataFrame) -> DataFrame:
 
 
 def _ordered_lines(lines: DataFrame) -> DataFrame:
-    """Line numbers from 0 within each file. A split's rows come in order, so the block's start and the
-    row's place in its partition order the file."""
+    """Line numbers from 0 within each file. Lines are numbered inside the block that they were read
+    from, where a task reads them in order, and the line counts of earlier blocks are added, so a
+    large file is numbered by many tasks."""
     place = lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
-    w = Window.partitionBy("file_path").orderBy("_block", "_id")
-    return place.withColumn("line_no", F.row_number().over(w) - 1).select("file_path", "line_no", F.col("value").alias("raw"))
+    local = F.row_number().over(Window.partitionBy("file_path", "_block").orderBy("_id"))
+    counts = lines.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_block")).agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("file_path").orderBy("_block")) - F.col("_n")).drop("_n")
+    numbered = place.withColumn("_local", local).join(before, ["file_path", "_block"])
+    return numbered.select("file_path", (F.col("_before") + F.col("_local") - 1).alias("line_no"), F.col("value").alias("raw"))
 
 
 def jsonl(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
