@@ -4,7 +4,8 @@ Folding lower-cases, strips accents, maps homoglyphs to Latin letters and everyt
 space. Words that mix letters with digits or signs, and letters spelled out with dots or dashes,
 are matched a second time with the substitutions undone. Lexicon entries match whole words or,
 where a family of words shares a beginning, word prefixes. Entries inside an exception phrase do
-not count. A document's weight, and its weight per word, go through a logistic calibration.
+not count. A document's weight, its weight per word and its heaviest
+match go through a logistic calibration.
 
 Lexicon, weights and calibration are fitted on the driver from a bounded sample of labelled rows:
 at most PER_LABEL distinct texts of each label, of at most MAX_FIT_CHARS characters, chosen by the
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -92,8 +94,8 @@ def folded(text: str | None) -> str:
 class Model:
     #: " word " or " prefix" -> weight
     lexicon: dict
-    #: bias, and the slopes of the two features
-    calibration: tuple = (-4.0, 2.0, 1.0)
+    #: bias, and the slopes of the features
+    calibration: tuple = (-4.0, 1.0, 1.0, 1.0)
     exceptions: tuple = EXCEPTIONS
     _automaton: object = field(default=None, repr=False, compare=False)
 
@@ -128,15 +130,16 @@ class Model:
             best = {at: w for at, w in best.items() if not any(lo <= at < hi for lo, hi in spans)}
         return sorted(best.items()), s.count(" ")
 
-    def features(self, text: str | None) -> tuple[float, float]:
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        """The weight of all matches, the weight per word, and the heaviest match."""
         found, n = self.matched(text)
         weight = sum(w for _, w in found)
-        return math.log1p(weight), math.log1p(100 * weight / (n + 20))
+        return math.log1p(weight), math.log1p(100 * weight / (n + 20)), max((w for _, w in found), default=0.0)
 
     def score(self, text: str | None) -> float:
-        x, y = self.features(text)
-        b, u, v = self.calibration
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, b + u * x + v * y))))
+        bias, *slopes = self.calibration
+        z = bias + sum(s * x for s, x in zip(slopes, self.features(text)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def _entries(text: str) -> set[str]:
@@ -175,26 +178,50 @@ def fit_lexicon(toxic: list[str], clean: list[str], z: float = 3.0, least_odds:
     return kept
 
 
+def without_near_copies(texts: list[str], rows: int = 3) -> list[str]:
+    """The texts that share none of a few MinHashes of five-word shingles with an earlier one: the words
+    of one much copied text would otherwise look like common words."""
+    salts = np.array([0x9E3779B97F4A7C15 + 2 * 0x85EBCA6B * k for k in range(rows)], np.uint64)
+    seen: set = set()
+    kept = []
+    for text in texts:
+        w = text.lower().split()
+        shingles = np.array([zlib.crc32(" ".join(w[i : i + 5]).encode()) for i in range(max(1, len(w) - 4))], np.uint64)
+        marks = {(k, int(h)) for k, h in enumerate((((shingles + np.uint64(1))[:, None] * salts) >> np.uint64(20)).min(axis=0))}
+        if not marks & seen:
+            kept.append(text)
+        seen |= marks
+    return kept
+
+
 def calibrate(model: Model, toxic: list[str], clean: list[str], toxic_share: float) -> tuple:
-    """Logistic regression on the two features, the sample weighted to the labels' true shares."""
-    x = np.array([(1.0, *model.features(t)) for t in [*toxic, *clean]])
+    """Logistic regression on the features, the sample weighted to the labels' true shares. More matches
+    never lower a score: a feature that would get a negative slope is left out."""
+    full = np.array([(1.0, *model.features(t)) for t in [*toxic, *clean]])
     y = np.repeat([1.0, 0.0], [len(toxic), len(clean)])
     share = np.repeat([toxic_share / len(toxic), (1 - toxic_share) / len(clean)], [len(toxic), len(clean)]) * len(y)
-    w = np.zeros(3)
-    for _ in range(100):  # Newton steps on the ridge-penalised likelihood
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(3), x.T @ (share * (y - p)) - 0.05 * w)
-        w += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return tuple(float(v) for v in w)
+    use = list(range(full.shape[1]))
+    while True:
+        x, w = full[:, use], np.zeros(len(use))
+        for _ in range(100):  # Newton steps on the ridge-penalised likelihood
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w)), x.T @ (share * (y - p)) - 0.05 * w)
+            w += step
+            if np.abs(step).max() < 1e-8:
+                break
+        worst = int(np.argmin(w[1:])) + 1 if len(use) > 1 else 0
+        if not worst or w[worst] >= 0:
+            return tuple(float(w[use.index(k)]) if k in use else 0.0 for k in range(full.shape[1]))
+        del use[worst]
 
 
 def fit(toxic: list[str], clean: list[str], toxic_share: float | None = None) -> Model:
     if not toxic or not clean:
         return Model({f" {w} ": 5.0 for w in SEEDS})
+    share = toxic_share or len(toxic) / (len(toxic) + len(clean))
+    toxic, clean = without_near_copies(toxic), without_near_copies(clean)
     model = Model({f" {w} ": 3.0 for w in SEEDS} | fit_lexicon(toxic, clean))
-    model.calibration = calibrate(model, toxic, clean, toxic_share or len(toxic) / (len(toxic) + len(clean)))
+    model.calibration = calibrate(model, toxic, clean, share)
     return model
 
 
