@@ -172,8 +172,12 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
 
     def run(batches):
         for batch in batches:
-            found, scores = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores)], names=[*keep, *names])
+            texts, found, scores = batch.column(batch.num_columns - 1), [], []
+            for at in range(0, len(texts), BATCH):  # few texts at a time become Python objects
+                names_of, scores_of = shared.value.predict(texts.slice(at, BATCH).to_pylist())
+                found += names_of
+                scores += scores_of.tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*keep, *names])
 
     chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("__text"))
     schema = chosen.drop("__text").withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
