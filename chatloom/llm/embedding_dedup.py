@@ -206,3 +206,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = TIL
 
 def query(spark, sf_dir) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON r.a = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a), m AS (SELECT a, min(c) AS c FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN m ON vec_id = m.a
+"""

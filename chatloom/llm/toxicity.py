@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, table
+from .langid import held_out
 
 PER_LABEL = 1500
 MAX_FIT_CHARS = 20_000
@@ -241,29 +242,25 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
     return by[1], by[0], counts.get(1, 0) / sum(counts.values())
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns `keep` with the score, for every row."""
+def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
+    """The columns `keep` with the score under `name`, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the lexicon: bounded by the fitted sample
 
     def run(batches):
         for batch in batches:
             scores = [shared.value.score(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, name])
 
-    chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("_text"))
-    return chosen.mapInArrow(run, chosen.drop("_text").withColumn("score", F.lit(0.0)).schema)
+    chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("__text"))
+    return chosen.mapInArrow(run, chosen.drop("__text").withColumn(name, F.lit(0.0)).schema)
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
-    from .langid import held_out
-
     known = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out(F.col("doc_id"), 4, 2))
     return fit(*training_sample(docs.select("doc_id", "text"), known))
 
 
 def query(spark, sf_dir) -> DataFrame:
-    from .langid import held_out
-
     docs = table(spark, sf_dir, "documents")
     found = scored(docs.select("doc_id", "text"), trained(docs, table(spark, sf_dir, "labels")), ["doc_id"])
     return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
