@@ -103,11 +103,11 @@ def redact(text: Column, keep: int = 200) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """12.3 KB and the like; 1024-based, whole bytes as they are, 'unknown' for null."""
+    """12.3 KB and the like; 1024-based, whole bytes as they are, 'unknown' for null. Ties round to even."""
     out = F.when(n.isNull(), F.lit("unknown")).when(n < 1024, F.format_string("%d B", n.cast("long")))
     for k, unit in enumerate(_UNITS[1:-1], 1):
-        out = out.when(n < 1024 ** (k + 1), F.format_string(f"%.1f {unit}", n / F.lit(float(1024**k))))
-    return out.otherwise(F.format_string(f"%.1f {_UNITS[-1]}", n / F.lit(float(1024 ** (len(_UNITS) - 1)))))
+        out = out.when(n < 1024 ** (k + 1), F.format_string(f"%.1f {unit}", F.bround(n / F.lit(float(1024**k)), 1)))
+    return out.otherwise(F.format_string(f"%.1f {_UNITS[-1]}", F.bround(n / F.lit(float(1024 ** (len(_UNITS) - 1))), 1)))
 
 
 def size_bytes(text: Column) -> Column:

@@ -44,7 +44,10 @@ def annotate(
     within which equal records are duplicates; early: a column with reject reasons found before."""
     from .dedup import mark_duplicates
 
-    clean = records.withColumn("_raw", F.coalesce("messages", F.array().cast("array<struct<role:string,content:string>>"))).withColumn("messages", cleaned(F.col("_raw")))
+    raw = records.withColumnRenamed("messages", "_given").withColumn("_raw", F.coalesce("_given", F.array().cast("array<struct<role:string,content:string>>")))
+    # The generator keeps the columns below from normalising the texts again, each for itself.
+    clean = raw.select("*", F.inline(F.array(F.struct(cleaned(F.col("_raw")).alias("messages"))))).drop("_given")
+    clean = clean.select(*records.columns, "_raw")
     reason = reject_reason(F.col("_raw"), F.col("messages"), min_chars, max_chars)
     if early:
         reason = F.coalesce(F.col(early), reason)

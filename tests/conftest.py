@@ -10,7 +10,7 @@ from chatloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores="4", partitions=4, app="tests")
+    session = local_session(cores="8", partitions=4, app="tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -314,3 +314,21 @@ def test_inventory(spark, tmp_path):
     got = {r.id: (r.meta_source, r.stars) for r in inventory.with_cached(plan, inventory.metadata_cache(spark, str(tmp_path / "cache.json")), "id", ["stars"]).collect()}
     assert got == {"a/b": ("cache", 5), "c/d": ("lookup", None)}
     assert "updated" in inventory.status({"ok": 1}, str(tmp_path / "s.json")) and "## sizes" in inventory.report("t", {"sizes": inventory.directory_sizes(catalog, F.lit("d"))})
+
+
+def fake_search(query):
+    return [{"id": f"{query}/{k}", "downloads": 10 * k, "license": "mit", "has_readme": True, "data_files": k} for k in range(3)]
+
+
+def test_hub_source(spark):
+    import os
+
+    from chatloom.sources.hub import HubMetadata
+
+    spark.sparkContext.environment["PYTHONPATH"] = os.path.dirname(os.path.dirname(os.path.abspath(__file__))) + "/tests"
+    spark.dataSource.register(HubMetadata)
+    rows = spark.read.format("hub_metadata").option("client", "test_engine:fake_search").option("queries", "a, b").load()
+    gate = validate.hub_gate(F.col("downloads"), F.col("license"), F.col("has_readme"), F.col("data_files"), 10)
+    assert rows.count() == 6 and rows.where(F.size(gate) == 0).count() == 4
+    with pytest.raises(Exception, match="name a client"):
+        spark.read.format("hub_metadata").load().count()
