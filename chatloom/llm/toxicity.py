@@ -73,7 +73,8 @@ class _FoldSigns(_Fold):
 
 
 _fold, _fold_signs = _Fold(), _FoldSigns()
-_MIXED = re.compile(r"[^\W\d_]+[0-9@$!|+€]+[^\W\d_][\w@$!|+€]*|(?<![\w@$!|+€])[0-9@$!|+€]+[^\W\d_][\w@$!|+€]*|[^\W\d_]{2,}[0-9@$]{1,2}(?![\w@$])")
+#: Words that mix letters with substitutes, each tried once from its start: linear in any text.
+_MIXED = re.compile(r"(?<![^\W_])(?<![@$!|+€])(?:(?:[^\W\d_]++[0-9@$!|+€]++|[0-9@$!|+€]++)[^\W\d_](?:[^\W_]|[@$!|+€])*+|[^\W\d_]{2,}+[0-9@$]{1,2}(?![^\W_]|[@$]))")
 _SPELLED = re.compile(r"(?<!\w)(?:[^\W\d_][.\-_*]){2,}[^\W\d_](?!\w)")
 _undo = [str.maketrans(SUBSTITUTES | {"1": one, "|": one}) for one in "il"]
 
