@@ -9,7 +9,8 @@ Equal lines meet in an aggregation that combines before its shuffle, so one line
 rows costs no more than others. Then only distinct lines are compared:
   1. Lines one edit apart share their first or their last g characters, g about half the length.
      Lines that share neither with another line are out.
-  2. The rest is keyed by blocks: all of the line but a block of BLOCK characters, with the place
+  2. The rest is keyed by blocks: all of the line but a block of characters (BLOCK, or the
+     root of the length if that is more), with the place
      of the block and the longer length of the pair. Blocks that meet no other line are out.
   3. Each remaining block emits its deletion variants as hashed keys: without character i, with i;
      and, as the shorter side of a pair, unchanged. Lines that differ by a substitution meet at
@@ -67,12 +68,14 @@ def _blocks(lines: DataFrame) -> DataFrame:
     line, n = F.col("line"), F.length("line")
 
     def cut(longer: bool) -> Column:
-        c, width = (n, BLOCK) if longer else (n + 1, BLOCK - 1)
+        c = n if longer else n + 1
+        block = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(c)).cast("int"))  # long lines: about as many blocks as characters in one
+        width = block if longer else block - 1
         return F.transform(
-            F.sequence(F.lit(0), c - 1, F.lit(BLOCK)),
+            F.sequence(F.lit(0), c - 1, block),
             lambda a: F.struct(
                 F.xxhash64(c, a, F.substring(line, F.lit(1), a), F.lit("\n"), F.substring(line, a + width + 1, n)).alias("key"),
-                F.substring(line, a + 1, F.lit(width)).alias("mid"),
+                F.substring(line, a + 1, width).alias("mid"),
                 F.lit(longer).alias("longer"),
             ),
         )
