@@ -1,6 +1,7 @@
 """A training-data pipeline over `documents`: each stage calls one operator and passes on what it keeps.
 
-1. language: documents without a recognisable language go (no letter, or a score under MIN_SCORE).
+1. language: documents without a recognisable language go: no letter, a score under MIN_SCORE, or
+   too few character n-grams that the learned languages have (langid.Model.floors).
 2. lines: lines that repeat earlier ones go from the texts; a document of which nothing stays goes.
 3. copies: of each SimHash component one document stays, the one with the smallest id.
 4. benchmark: contaminated documents go.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from chatloom.llm import decontaminate, langid, line_dedup, packing, simhash
 from chatloom.llm.common import table
 
-#: A prediction below this is taken as no language at all; clean texts score far higher.
+#: A prediction below this contradicts every learned language. Texts like none of them score about 0.5 and go as unfamiliar.
 MIN_SCORE = 0.25
 
 
@@ -25,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.trained(docs)
     if not model.languages:  # nothing to learn from: only texts without a letter go
         return docs.where(F.coalesce(F.rlike("text", F.lit("\\p{L}")), F.lit(False)))
-    found = langid.identify(docs, model, docs.columns, names=("__lang_pred", "__score"))
-    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE)).select(*docs.columns)
+    found = langid.identify(docs, model, docs.columns, names=("__lang_pred", "__score", "__familiar"))
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE) & F.col("__familiar")).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """The stages of the pipeline, each against what a plain version keeps of its own input."""
 
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
@@ -48,3 +50,22 @@ def test_odd_documents(spark, docs):
             assert kept.columns == made.columns
         assert kept.count() == (2 if made.count() else 0) or made.count() == 0
         assert P.STAGES[-1][1](spark, kept, DATA).count() == kept.count()
+
+
+def unlearned():
+    rng = random.Random(3)
+    scripts = ["Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心", "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι"]
+    noise = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("abcdefghijklmnopqrstuvwxyz ", "bcdfghjklmnpqrstvwxz ") for n in (100, 400, 3000)]
+    return scripts + [t * 20 for t in scripts] + noise
+
+
+@pytest.mark.parametrize("kept", [("en",), ("en", "de"), ("en", "de", "fr", "es")])
+def test_unfamiliar_texts_go(spark, kept):
+    """Unlearned scripts and gibberish go, whatever the number of languages; clean texts and short cuts of them stay."""
+    docs = common.table(spark, DATA, "documents").where(F.col("lang").isin(*kept)).select("doc_id", "text", "lang")
+    some = [r.text for r in docs.where(F.length("text") > 300).orderBy("doc_id").limit(40).collect()]
+    short = [t[t.index(" ", 100) :][:n] for t in some for n in (12, 40)]
+    made = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(short + unlearned())], "doc_id long, text string, lang string")
+    out = {r.doc_id for r in P.language(spark, docs.unionByName(made), DATA).collect()}
+    assert out - {r.doc_id for r in docs.collect()} == {10**9 + i for i in range(len(short))}
+    assert docs.where(F.rlike("text", F.lit("\\p{L}"))).count() == len({i for i in out if i < 10**9})
