@@ -69,8 +69,66 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
         "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
     ),
+    "bsd-binary-clause": (
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution."
+    ),
+    "bsd-3-clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission."
+    ),
+    # Passages short enough that another version or family of the same header misses more than a fifth of them.
+    "gpl-2.0-header": "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    "lgpl-3.0-header": "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License",
+    "agpl-3.0-header": "terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+    "cc0-1.0-dedication": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 
+#: The usual names of each family of validate.LICENSES, of at least SHINGLE words or made so by a verb before.
+_NAMES = {
+    "apache-2.0": ("Apache License Version 2.0", "Apache License 2.0", "Apache 2.0 License"),
+    "mit": ("MIT License", "terms of the MIT License"),
+    "bsd-3-clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License"),
+    "bsd-2-clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+    "gpl-3.0": ("GNU General Public License version 3", "GNU General Public License v3.0", "GNU General Public License v3", "GNU GPL v3"),
+    "gpl-2.0": ("GNU General Public License version 2", "GNU General Public License v2.0", "GNU General Public License v2", "GNU GPL v2"),
+    "lgpl-3.0": ("GNU Lesser General Public License version 3", "GNU Lesser General Public License v3.0", "GNU Lesser General Public License v3", "GNU LGPL v3"),
+    "agpl-3.0": ("GNU Affero General Public License version 3", "GNU Affero General Public License v3.0", "GNU Affero General Public License v3", "GNU AGPL v3"),
+    "mpl-2.0": ("Mozilla Public License Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License v2.0"),
+    "cc-by-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0 International License"),
+    "cc-by-sa-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "cc-by-nc-4.0": ("released under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "cc0-1.0": ("CC0 1.0", "CC0 1.0 Universal"),
+    "unlicense": ("the terms of the Unlicense",),
+    "openrail": ("CreativeML Open RAIL-M License", "BigScience OpenRAIL-M License"),
+    "odc-by": ("ODC-BY 1.0", "Open Data Commons Attribution License"),
+}
+#: SPDX identifiers; one of a single word leaves a line of four words, too short for a shingle.
+_SPDX = (
+    "Apache-2.0", "BSD-3-Clause", "BSD-2-Clause", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-2.0-only", "GPL-2.0-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "ODC-By-1.0",
+)
+_VERBS = ("licensed", "released")
+
+
+def _notices() -> dict[str, str]:
+    """The notices a name is found by: the name where it is a shingle itself, else each verb with it."""
+    n_words = lambda t: len("".join(c if c.isalnum() else " " for c in t).split())
+    out = {}
+    for family, names in _NAMES.items():
+        for i, name in enumerate(names):
+            if n_words(name) >= SHINGLE:
+                out[f"{family}-name-{i}"] = name
+                continue
+            for verb in _VERBS:
+                article = "" if family.startswith(("cc", "odc")) else "the "
+                out[f"{family}-name-{i}-{verb}"] = f"{verb} under {article}{name}"
+    return out | {f"spdx-{x.lower()}": f"SPDX-License-Identifier: {x}" for x in _SPDX}
+
+
+_known = {" ".join("".join(c.lower() if c.isalnum() else " " for c in t).split()) for t in TEMPLATES.values()}
+TEMPLATES |= {k: t for k, t in _notices().items() if " ".join("".join(c.lower() if c.isalnum() else " " for c in t).split()) not in _known}
+
 #: Words are runs of anything but ASCII signs and white space. No lambda is needed to drop empty
 #: strings: leading and trailing separators are trimmed first.
 _SEPARATOR_CHARS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))

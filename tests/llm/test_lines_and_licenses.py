@@ -3,6 +3,7 @@ import random
 import pytest
 
 from chatloom.llm import license_scan, line_dedup
+from chatloom.operators import validate
 
 
 def within_one(a, b):
@@ -115,3 +116,21 @@ def test_license_recall_at_the_threshold(docs):
             rows.append((i, text))
     got = {(r.doc_id, r.license) for r in license_scan.scan(docs(rows)).collect()}
     assert len(want) > 100 and want <= got
+
+
+def test_license_families(docs):
+    """Usual one-line notices of every family name it, whatever stands around them."""
+    wanted = {
+        "mit": "Foo is licensed under the MIT License, see LICENSE", "apache-2.0": "This tool is released under the Apache License, Version 2.0", "gpl-3.0": "covered by the GNU General Public License v3.0",
+        "gpl-2.0": "under the GNU General Public License, version 2", "lgpl-3.0": "Released under the GNU LGPL v3.", "agpl-3.0": "GNU Affero General Public License v3.0", "bsd-3-clause": "Licensed under the BSD 3-Clause License",
+        "bsd-2-clause": "released under the Simplified BSD License", "mpl-2.0": "the Mozilla Public License 2.0", "cc-by-4.0": "Licensed under CC BY 4.0", "cc-by-sa-4.0": "Text is licensed under CC BY-SA 4.0", "cc-by-nc-4.0": "released under CC BY-NC 4.0",
+        "cc0-1.0": "released under CC0 1.0", "unlicense": "under the terms of the Unlicense", "openrail": "under the CreativeML Open RAIL-M License", "odc-by": "Open Data Commons Attribution License",
+    }
+    assert set(wanted) == set(validate.LICENSES)
+    rows = [(i, f"some words\n{t}\nand more") for i, t in enumerate(wanted.values())] + [(50 + i, f"# SPDX-License-Identifier: {x}\nimport os") for i, x in enumerate(license_scan._SPDX)]
+    got = {}
+    for r in license_scan.scan(docs([*rows, (98, license_scan.TEMPLATES["gpl-header"]), (99, "the license of the public is general and under the version of it")])).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    for i, family in enumerate(wanted):
+        assert got[i] and all(x.startswith(family) for x in got[i]), (family, got.get(i))
+    assert all(f"spdx-{x.lower()}" in got[50 + i] for i, x in enumerate(license_scan._SPDX)) and got[98] == {"gpl-header"} and 99 not in got
