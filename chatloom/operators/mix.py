@@ -42,7 +42,8 @@ def jitter(seed: int, *cols: Column) -> Column:
 
 def mixed(rows: DataFrame, plan: DataFrame, dataset: str, order: list[str], seed: int = 42) -> DataFrame:
     """Adds `part` ('whole' or 'extra') and `mix_key`, by which the mix is sorted: in the whole part
-    (position + jitter) / whole_rows, so each dataset is spread over (0, 1); extras come after."""
+    (position + jitter) / whole_rows, so each dataset is spread over (0, 1); extras come after.
+    Jitter is less than a place, so every dataset, and a single one as a whole, keeps its own order."""
     small = F.broadcast(plan.select(F.col("dataset").alias(dataset), "n", "whole_rows", "rank"))  # one row a dataset
     placed = ordinals(rows, "_ord", [dataset], order).join(small, dataset)
     inside = F.col("_ord") < F.col("whole_rows")
@@ -51,6 +52,11 @@ def mixed(rows: DataFrame, plan: DataFrame, dataset: str, order: list[str], seed
     return placed.withColumn("part", F.when(inside, "whole").otherwise("extra")).withColumn("mix_key", F.when(inside, early).otherwise(late)).select(*rows.columns, "part", "mix_key")
 
 
+def positions(mix: DataFrame, name: str = "position") -> DataFrame:
+    """The mix with the place of each row in it, from 1."""
+    return ordinals(mix, name, [], ["mix_key"]).withColumn(name, F.col(name) + 1)
+
+
 def write_order(mix: DataFrame) -> DataFrame:
     """The mix in its order over range partitions; files in partition order are the mixed corpus."""
     return mix.repartitionByRange("mix_key").sortWithinPartitions("mix_key")

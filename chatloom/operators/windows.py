@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def head(rows: DataFrame, n: int, order: list, by: list[str] | None = None) -> DataFrame:
     """The first n rows of each group by `order`; Spark stops sorting a group at n rows.
@@ -14,11 +16,19 @@ def head(rows: DataFrame, n: int, order: list, by: list[str] | None = None) -> D
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
 
 
+def ranged(rows: DataFrame, *order: str) -> DataFrame:
+    """rows range-partitioned by `order`, with the number of their partition in `_part`, written to the
+    checkpoint folder. Range bounds are sampled and adaptive execution folds partitions, so whoever
+    reads the partitions twice must read them from one place."""
+    return checkpointed(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+
+
 def ordinals(rows: DataFrame, name: str, by: list[str], order: list[str]) -> DataFrame:
-    """Adds each row's place in its group, from 0. Two levels, so that a group in most of the rows is
-    spread: range partitions number their own rows of a group, and the counts of earlier partitions,
-    one row a partition and group, are added. Rows equal in `order` are numbered in any order."""
-    parts = rows.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id())
+    """Adds each row's place in its group, from 0; without groups, its place among all rows. Two
+    levels, so that a group in most of the rows is spread: range partitions number their own rows of
+    a group, and the counts of earlier partitions, one row a partition and group, are added. Rows
+    equal in `order` are numbered in any order."""
+    parts = ranged(rows, *by, *order)
     local = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order))
     counts = parts.groupBy("_part", *by).agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part"))
@@ -33,16 +43,17 @@ def ordinals(rows: DataFrame, name: str, by: list[str], order: list[str]) -> Dat
 def byte_budget(rows: DataFrame, budget: int, order: list[str], size: Column) -> DataFrame:
     """The rows written until the budget is reached: those whose preceding rows sum to less than it.
 
-    A global prefix sum in two levels: rows are range-partitioned by `order` and summed inside
-    their partitions, and the totals of earlier partitions, one row a partition, are added.
-    Adds `bytes` and `cum_bytes` (inclusive). Rows equal in `order` are taken in any order."""
-    sized = rows.withColumn("bytes", size.cast("long")).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    local = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = sized.withColumn("_local", F.sum("bytes").over(local))
+    A global prefix sum in two levels: rows are range-partitioned by `order`, and partitions that
+    start within the budget are summed inside and get the totals of earlier partitions, one row a
+    partition, added. Adds `bytes` and `cum_bytes` (inclusive). Rows equal in `order` are taken in
+    any order."""
+    sized = ranged(rows.withColumn("bytes", size.cast("long")), *order)
     totals = sized.groupBy("_part").agg(F.sum("bytes").alias("_total"))
-    before = totals.select("_part", (F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_total")).alias("_before"))
-    out = summed.join(F.broadcast(before), "_part")  # one row a partition
-    return out.withColumn("cum_bytes", F.col("_before") + F.col("_local")).where(F.col("cum_bytes") - F.col("bytes") < budget).select(*rows.columns, "bytes", "cum_bytes")
+    upto = F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    before = totals.select("_part", (upto - F.col("_total")).alias("_before")).where(F.col("_before") < budget)
+    local = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = sized.join(F.broadcast(before), "_part").withColumn("cum_bytes", F.col("_before") + F.sum("bytes").over(local))  # one row a partition
+    return out.where(F.col("cum_bytes") - F.col("bytes") < budget).select(*rows.columns, "bytes", "cum_bytes")
 
 
 def carried(rows: DataFrame, value: Column, name: str, by: list[str], order: list[str]) -> DataFrame:

@@ -6,12 +6,13 @@ import hashlib
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_text, message
 from ..operators.adapters import adapted
 from ..operators.validate import annotate
+from ..operators.windows import ordinals
 
 
 def formatted(raw: DataFrame, order: list[str], scope: list[str] | None = None, exclusions: DataFrame | None = None, max_records: int | None = None, **limits) -> DataFrame:
@@ -22,8 +23,8 @@ def formatted(raw: DataFrame, order: list[str], scope: list[str] | None = None,
     out = annotate(rows.withColumn("messages", messages).withColumn("_early", reject), order, scope, early="_early", **limits)
     if max_records is None:
         return out
-    w = Window.partitionBy("dataset", F.col("reject").isNull()).orderBy(*order)
-    return out.withColumn("_n", F.row_number().over(w)).where(F.col("reject").isNotNull() | (F.col("_n") <= max_records)).drop("_n")
+    taken = ordinals(out.withColumn("_ok", F.col("reject").isNull()), "_n", ["dataset", "_ok"], order)
+    return taken.where(~F.col("_ok") | (F.col("_n") < max_records)).drop("_n", "_ok")
 
 
 def conversations(rows: DataFrame, group: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

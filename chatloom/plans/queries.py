@@ -344,15 +344,8 @@ m AS (SELECT doc_id, dataset, CASE WHEN i < whole_rows THEN 'whole' ELSE 'extra'
   CASE WHEN i < whole_rows THEN (i + ('0x' || substr(sha256('42|' || dataset || '|' || i || '|'), 1, 8))::UBIGINT::DOUBLE / 4294967296.0) / whole_rows ELSE 2 + rank + i / n END AS k FROM o JOIN p USING (dataset))
 SELECT doc_id, dataset, part, row_number() OVER (ORDER BY k) AS position FROM m""")
 def mix_order(spark, sf_dir):
-    from pyspark.sql import Window
-
     docs, plan = _mix(spark, sf_dir)
-    out = mix.mixed(docs, plan, "dataset", ["doc_id"])
-    # Two-level ranking: range partitions in order, then the local place.
-    parts = mix.write_order(out).withColumn("_p", F.spark_partition_id())
-    before = parts.groupBy("_p").agg(F.count("*").alias("_n")).select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))
-    local = F.row_number().over(Window.partitionBy("_p").orderBy("mix_key"))
-    return parts.withColumn("_k", local).join(F.broadcast(before), "_p").select("doc_id", "dataset", "part", (F.col("_before") + F.col("_k")).alias("position"))
+    return mix.positions(mix.mixed(docs, plan, "dataset", ["doc_id"])).select("doc_id", "dataset", "part", "position")
 
 
 @query("SELECT count(*) AS expected, count(*) AS actual, count(DISTINCT doc_id) AS distinct_rows, count(*) = count(DISTINCT doc_id) AS ok FROM documents")
@@ -377,13 +370,13 @@ def corpora_concat(spark, sf_dir):
 # -- recipes -----------------------------------------------------------------------------------
 
 
-@query("""WITH l AS (SELECT doc_id % 40 AS item_id, doc_id, CASE WHEN quality = 1 AND toxic = 0 THEN 'compile-pass' ELSE 'fail' END AS bucket, toxic AS errors, quality AS ex5, doc_id % 3 AS arm FROM labels WHERE doc_id % 5 > 0),
+@query("""WITH l AS (SELECT doc_id % 40 AS item_id, doc_id, CASE WHEN quality = 1 AND toxic = 0 THEN 'compile-pass' ELSE 'fail' END AS bucket, toxic AS errors, quality AS ex5, doc_id % 3 AS arm FROM labels),
 f AS (SELECT item_id, arg_min({'b': bucket, 'e': errors, 'x': ex5, 'a': arm}, doc_id) FILTER (bucket = 'compile-pass') AS good, arg_min({'b': bucket, 'e': errors, 'x': ex5, 'a': arm}, doc_id) AS any1 FROM l GROUP BY item_id)
 SELECT b.item_id, text AS user_text, CASE WHEN good IS NOT NULL THEN 'The reference implementation compiled and passed validation (bucket=compile-pass, errors=0, ex5_exists=' || good.x || ', arm=' || good.a || ').'
   ELSE 'The reference implementation did not compile cleanly in this release (bucket=' || coalesce(any1.b, 'None') || ', errors=' || coalesce(any1.e::VARCHAR, 'None') || ').' END AS assistant_text FROM benchmark b LEFT JOIN f ON b.item_id = f.item_id""")
 def recipe_prompt_verdict(spark, sf_dir):
     bucket = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "compile-pass").otherwise("fail")
-    verdicts = table(spark, sf_dir, "labels").where("doc_id % 5 > 0").select((F.col("doc_id") % 40).alias("item_id"), F.col("doc_id").alias("ord"), bucket.alias("bucket"), F.col("toxic").alias("errors"), F.col("quality").alias("ex5_exists"), (F.col("doc_id") % 3).alias("arm"))
+    verdicts = table(spark, sf_dir, "labels").select((F.col("doc_id") % 40).alias("item_id"), F.col("doc_id").alias("ord"), bucket.alias("bucket"), F.col("toxic").alias("errors"), F.col("quality").alias("ex5_exists"), (F.col("doc_id") % 3).alias("arm"))
     prompts = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("prompt"), F.col("item_id").alias("ord"))
     return recipes.prompt_verdicts(prompts, verdicts, order=["ord"], keep=["item_id"]).select("item_id", *_texts())
 
@@ -398,11 +391,11 @@ def recipe_two_per_row(spark, sf_dir):
     return recipes.vulnerabilities(rows, keep=["o_orderkey"]).select("o_orderkey", *_texts())
 
 
-@query(r"""WITH p AS (SELECT page_id, trim(regexp_replace(html, '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) AS code, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS repo, regexp_replace(url, '^[a-z]+://[^/]+/', '') AS path FROM pages)
-SELECT page_id, 'Write Python code that implements ' || string_split(path, '/')[-1] || ' from ' || repo || ' (path: ' || path || ').' AS user_text, sha256('# ' || path || ' (from ' || repo || ', license: unknown)' || chr(10) || chr(10) || code) AS assistant_sha256 FROM p WHERE path <> ''""")
+@query(r"""WITH p AS (SELECT page_id, trim(regexp_replace(html, '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) AS code, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS repo, coalesce(nullif(regexp_replace(url, '^[a-z]+://[^/]+/', ''), ''), 'module.py') AS path FROM pages)
+SELECT page_id, 'Write Python code that implements ' || string_split(path, '/')[-1] || ' from ' || repo || ' (path: ' || path || ').' AS user_text, sha256('# ' || path || ' (from ' || repo || ', license: unknown)' || chr(10) || chr(10) || code) AS assistant_sha256 FROM p WHERE code <> ''""")
 def recipe_code_header(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("content"), F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("repo_name"), F.regexp_replace("url", "^[a-z]+://[^/]+/", "").alias("path"))
-    done = recipes.code_files(pages.where("path <> ''"), keep=["page_id"]).select("page_id", *_texts())
+    done = recipes.code_files(pages, keep=["page_id"]).select("page_id", *_texts())
     return done.select("page_id", "user_text", F.sha2("assistant_text", 256).alias("assistant_sha256"))
 
 
@@ -455,10 +448,10 @@ def recipe_code_review(spark, sf_dir):
     return recipes.code_reviews(rows, keep=["o_orderkey"]).select("o_orderkey", *_texts())
 
 
-@query("""SELECT c_custkey, 'question of ' || c_name AS user_text, 'answer ' || c_mktsegment AS assistant_text FROM customer WHERE c_custkey % 4 > 0""")
+@query("""SELECT c_custkey, 'question of ' || c_name AS user_text, CASE WHEN c_custkey % 4 > 0 THEN 'answer ' || c_mktsegment ELSE 'x' END AS assistant_text FROM customer""")
 def recipe_fuzzy_questions(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("question of "), "c_name").alias("My Question"), F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("answer "), "c_mktsegment")).alias("Final Answer"), F.lit("x").alias("Other answer"))
-    return recipes.fuzzy_questions(rows.where("c_custkey % 4 > 0"), keep=["c_custkey"]).select("c_custkey", *_texts())
+    return recipes.fuzzy_questions(rows, keep=["c_custkey"]).select("c_custkey", *_texts())
 
 
 @query("""SELECT page_id, 'mit' AS repo, CASE WHEN page_id % 3 = 0 THEN 'Show me the MQL5 header for f' || page_id || ' from repo.' WHEN page_id % 3 = 1 THEN 'Write an MQL5 EA or script that implements f' || page_id || ' (from repo).' ELSE 'What does the MQL5 project repo do, and how is it used?' END AS user_text FROM pages WHERE page_id % 5 > 0""")
