@@ -17,18 +17,18 @@ def within_one(a, b):
     return a[p + 1 :] == (b[p + 1 :] if len(a) == len(b) else b[p:]) if p < len(a) else True
 
 
-def plain(rows, min_chars=20):
+def plain(rows, near_chars=5):
     seen, out = [], {}
     for i, text in sorted(rows):
         kept, exact, near = [], 0, 0
         for raw in text.split("\n"):
             line = raw.strip(" \t\x0b\x0c\r")
-            if len(line) < min_chars:
+            if not line:
                 kept.append(raw)
             elif line in seen:
                 exact += 1
             else:
-                close = any(within_one(line, s) for s in seen)
+                close = any(max(len(line), len(s)) >= near_chars and within_one(line, s) for s in seen)
                 near += close
                 kept += [] if close else [raw]
                 seen.append(line)
@@ -46,10 +46,10 @@ def test_lines_against_brute_force(docs, broadcast, monkeypatch):
     if not broadcast:
         monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
     rng = random.Random(7)
-    base = ["".join(rng.choice("abcdefgh éß") for _ in range(n)) for n in (19, 20, 21, 31, 32, 33, 47, 48, 63, 64, 65, 100, 129, 700)]
-    pool = [*base, "a" * 40, "a" * 41, "ab" * 20, *("Page %d of the handbook" % k for k in range(30)), "", "  ", "short"]
+    base = ["".join(rng.choice("abcdefgh éß") for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 14, 15, 16, 17, 19, 20, 21, 31, 32, 33, 47, 48, 63, 64, 65, 100, 129, 700)]
+    pool = [*base, "a" * 40, "a" * 41, "ab" * 20, *("Page %d of the handbook" % k for k in range(30)), "", "  ", "short", "Menu", "Read more", "Share this", "2.5 kg", "---", "\x0b"]
     rows = []
-    for i in range(60):
+    for i in range(90):
         lines = []
         for _ in range(rng.randint(0, 12)):
             line = rng.choice(pool)
@@ -65,9 +65,9 @@ def test_lines_against_brute_force(docs, broadcast, monkeypatch):
 
 def test_lines_of_odd_rows(docs):
     line = "a line of more than twenty characters"
-    rows = [(1, None), (2, ""), (3, line), (3, line), (None, line), (4, line + "\n" + line + "!"), (5, "z" * 60_000), (6, "z" * 59_999)]
+    rows = [(0, "Read more\nMenu\n\nMenu"), (1, None), (2, "Read more\n \nMenus\nx\ny"), (3, line), (3, line), (None, line), (4, line + "\n" + line + "!"), (5, "z" * 60_000), (6, "z" * 59_999), (7, "")]
     got = sorted(((r.doc_id if r.doc_id is not None else -1, r.n_lines, r.n_exact, r.n_near, r.kept_text) for r in line_dedup.dedup_lines(docs(rows)).collect()), key=str)
-    assert got == sorted([(1, 0, 0, 0, None), (2, 1, 0, 0, ""), (3, 1, 1, 0, ""), (3, 1, 1, 0, ""), (-1, 1, 0, 0, line), (4, 2, 1, 1, ""), (5, 1, 0, 0, "z" * 60_000), (6, 1, 0, 1, "")], key=str)
+    assert got == sorted([(0, 4, 1, 0, "Read more\nMenu\n"), (1, 0, 0, 0, None), (2, 5, 1, 1, " \nx\ny"), (3, 1, 1, 0, ""), (3, 1, 1, 0, ""), (-1, 1, 0, 0, line), (4, 2, 1, 1, ""), (5, 1, 0, 0, "z" * 60_000), (6, 1, 0, 1, ""), (7, 1, 0, 0, "")], key=str)
     assert line_dedup.dedup_lines(docs([])).count() == 0
     kept = line_dedup.dedup_lines(docs([(9, line)]), keep=["doc_id", "text_hash", "fp"]).first()
     assert kept.others.asDict() == {"doc_id": 9, "text_hash": "x", "fp": "z"}
