@@ -1,26 +1,38 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, exact shingle
 containment verifies them.
 
-Texts are lower-cased word sequences; a shingle is five words. A template of fewer than WINDOW
-shingles is looked up by windows of one shingle, whose MinHash is the shingle's own hash: an intact
-shingle is found with certainty. A longer template is looked up by windows of WINDOW shingles, every
-half window in a document and at every offset in the template, each with its BANDS smallest hashes
-as bands of one row: two aligned windows with Jaccard J meet with probability at least
-1 - (1 - J)^BANDS, 0.99 at the J of 0.67 that a containment of 0.8 leaves on average, and a template
-of n shingles has about 2n / WINDOW chances. Templates are few and of fixed size (checked), so
-the bands are matched where the text is read: no text and no band is shuffled.
-
-A band match aligns the template with the document. The match counts if at least `share` of the
-template's distinct shingles occur, word for word, in the aligned region (a fifth longer than the
-template on either side). Everything is DataFrame expressions.
-
-Defined cases: a null text, or one of fewer than five words, holds no license; several licenses of
-one text are all reported; rows that repeat id and text each get the same row; a null doc_id is a
-row like any other; an empty table gives an empty result; other columns are ignored.
+Texts are lower-cased word sequences; a shingle is five words. A window's bands are its smallest
+shingle hashes. Of a template, the windows at every offset are sketched; of a text, overlapping
+windows of the same sizes:
+  * A template of fewer than LONG shingles takes windows of min(4, its shingles), in a text at every
+    place, with one band. A changed word costs up to five shingles, so a copy that keeps 0.8 of so
+    few has lost words at its ends only and holds a whole window of the template: equal windows have
+    equal MinHashes, so it is retrieved with certainty.
+  * A longer one takes windows of WINDOW shingles, in a text at every half window, with BANDS bands.
+    An edit inside costs at least four shingles, so a copy that keeps 0.8 of n keeps a run of eight
+    or more (n = 20 with one edit is the worst). Some window of the text covers six of the eight: a
+    Jaccard similarity of at least 6/10, and a retrieval with probability 1 - 0.4^BANDS = 0.974 or
+    more for each such run; there are two in the worst case (0.9993), and runs of eleven are certain.
+
+A band is the hash of one of its window's shingles, so texts without any shingle of any template
+are passed over before their windows are sketched. A retrieved template counts if at least `share`
+of its distinct shingles occur, word for word, anywhere in the text. Only band hashes and template
+shingles that occur are shuffled, never texts. The hashes of the templates are looked up in a bitmap
+of at most 4 MB in the plan, and what it lets through is joined with their table by broadcast;
+templates of more than LITERALS words together are taken in several passes of at most that.
+
+Defined cases: a null text, or one of fewer than five words, holds no license, and a template of
+fewer than five words is never found; several licenses of one text are all reported; rows that
+repeat id and text each get the same row; a null doc_id is a row like any other; a very long text is
+read whole, and gives at most one row a band and one a place where a template's shingle stands;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +41,14 @@ from .common import checkpointed, table
 SHINGLE = 5
 WINDOW = 8
 BANDS = 4
+#: Templates of fewer shingles take short windows.
+LONG = 16
+SHORT_WINDOWS = (1, 2, 3, 4)
 SHARE = 0.8
-MAX_TEMPLATE_BYTES = 1 << 20
+#: Words of templates that one pass takes.
+LITERALS = 1_000_000
+#: The bitmap of the templates' hashes: powers of two.
+LEAST_BITS, MOST_BITS = 22, 25
 
 #: Short notices and the characteristic passages of common public licenses.
 TEMPLATES = {
@@ -77,6 +95,41 @@ TEMPLATES = {
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
         "without specific prior written permission."
     ),
+    # Whole texts of the short licenses.
+    "mit-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "bsd-2-clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+        "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+        "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, "
+        "an acknowledgment in the product documentation would be appreciated but is not required. "
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
     # Passages short enough that another version or family of the same header misses more than a fifth of them.
     "gpl-2.0-header": "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
     "lgpl-3.0-header": "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License",
@@ -140,59 +193,93 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SEPARATORS))
 
 
-def _upto(n: Column, step: int = 1) -> Column:
-    """1, 1 + step, ... up to n; empty if n < 1."""
-    return F.when(n >= 1, F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(step))).otherwise(F.array().cast("array<int>"))
-
-
-def shingle_hashes(tokens: Column) -> Column:
-    return F.transform(_upto(F.size(tokens) - SHINGLE + 1), lambda i: F.xxhash64(F.slice(tokens, i, SHINGLE)))
-
-
-def _shingles(tokens: Column) -> Column:
-    return F.array_distinct(F.transform(_upto(F.size(tokens) - SHINGLE + 1), lambda i: F.array_join(F.slice(tokens, i, SHINGLE), " ")))
-
-
-def _sketches(hashes: Column, step: int) -> Column:
-    """The BANDS smallest hashes of each window; the last window ends with the text."""
-    n = F.size(hashes) - WINDOW + 1
-    starts = F.array_union(_upto(n, step), F.when(n >= 1, F.array(n)).otherwise(F.array().cast("array<int>"))) if step > 1 else _upto(n)
-    return F.transform(starts, lambda i: F.struct(F.slice(F.array_sort(F.slice(hashes, i, WINDOW)), 1, BANDS).alias("bands"), (i - 1).alias("at")))
-
-
-def template_bands(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(band, long, license, at, n_words, shingles): every band of every template, small by the check on its bytes."""
-    if sum(len(t.encode()) for t in templates.values()) > MAX_TEMPLATE_BYTES:
-        raise ValueError("the templates are too large to be matched where the texts are read")
-    rows = spark.createDataFrame(list(templates.items()), "license string, text string").withColumn("tokens", words(F.col("text"))).withColumn("h", shingle_hashes(F.col("tokens")))
-    long = F.size("h") >= WINDOW
-    single = F.transform(F.col("h"), lambda x, i: F.struct(F.array(x).alias("bands"), i.alias("at")))
-    cut = rows.select("license", long.alias("long"), F.size("tokens").alias("n_words"), _shingles(F.col("tokens")).alias("shingles"), F.inline(F.when(long, _sketches(F.col("h"), 1)).otherwise(single)))
-    return cut.select("long", "license", "at", "n_words", "shingles", F.explode("bands").alias("band")).groupBy("band", "long", "license").agg(
-        F.min("at").alias("at"), F.max("at").alias("at_last"), F.first("n_words").alias("n_words"), F.first("shingles").alias("shingles")
-    )
-
-
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per found license: doc_id, text_hash, license, n_found, n_shingles, start (word of the best match)."""
-    spark = docs.sparkSession
+def shingle_hashes(tokens: str) -> Column:
+    """The hash of each shingle of a column of words."""
+    return F.expr(f"transform(if(size({tokens}) < {SHINGLE}, array(), sequence(1, size({tokens}) - {SHINGLE - 1})), i -> xxhash64(slice({tokens}, i, {SHINGLE})))")
+
+
+def _bands(size: int, step: int, among: str = "") -> str:
+    """SQL: the bands of all windows of so many hashes in `h`, one window at least, at every `step` and
+    at the end; only those x for which `among` holds, if it is given."""
+    last = f"greatest(size(h) - {size - 1}, 1)"
+    if size < WINDOW:
+        found = f"transform(sequence(1, {last}, {step}), i -> array_min(slice(h, i, {size})))"
+    else:
+        starts = f"array_union(sequence(1, {last}, {step}), array({last}))"
+        found = f"flatten(transform({starts}, i -> slice(array_sort(slice(h, i, {size})), 1, {BANDS})))"
+    kept = f"filter({found}, x -> {among})" if among else found
+    return f"transform(array_distinct({kept}), x -> named_struct('size', {size}, 'band', x))"
+
+
+def _passes(templates: dict[str, str]) -> Iterator[dict[str, str]]:
+    """The templates in parts of at most LITERALS words, or of one template."""
+    part, n = {}, 0
+    for name, text in templates.items():
+        here = len(text.split())
+        if part and n + here > LITERALS:
+            yield part
+            part, n = {}, 0
+        part[name] = text
+        n += here
+    if part:
+        yield part
+
+
+def _sketched(spark: SparkSession, templates: dict[str, str]) -> tuple[list, list]:
+    """Rows (size, band, license) and (hash, shingle, license, n_shingles): at most a few a word of the templates."""
+    rows = spark.createDataFrame(list(templates.items()), "license string, text string").withColumn("tokens", words(F.col("text")))
+    cut = rows.withColumn("h", shingle_hashes("tokens"))
+    texts = F.expr(f"transform(h, (x, i) -> named_struct('hash', x, 'shingle', array_join(slice(tokens, i + 1, {SHINGLE}), ' ')))")
+    kinds = [f"WHEN size(h) >= {LONG} THEN {_bands(WINDOW, 1)}"] + [f"WHEN size(h) {'=' if w < max(SHORT_WINDOWS) else '>='} {w} THEN {_bands(w, 1)}" for w in SHORT_WINDOWS]
+    got = cut.select("license", F.expr(f"CASE {' '.join(kinds)} END").alias("bands"), texts.alias("shingles")).collect()
+    own = {r["license"]: {x["shingle"]: x["hash"] for x in r["shingles"]} for r in got}
+    return [(b["size"], b["band"], r["license"]) for r in got for b in r["bands"] or ()], [(h, x, name, len(found)) for name, found in own.items() for x, h in found.items()]
+
+
+def _known(hashes: Iterable[int], of: str) -> str:
+    """SQL: whether the hash `of` may be among these, by a bitmap in one literal; a join decides later."""
+    seen = sorted(set(hashes))
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (4096 * len(seen)).bit_length()))
+    bits = np.zeros(size, np.uint8)
+    bits[np.array(seen, np.int64) % size] = 1
+    longs = ",".join(map(str, np.packbits(bits, bitorder="little").view("<i8").tolist()))
+    return f"getbit(get(cast(split('{longs}', ',') AS array<bigint>), cast(pmod({of}, {size}) div 64 AS int)), cast(pmod({of}, 64) AS int)) = 1"
+
+
+def _scan(base: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """doc_id, text_hash, license, n_found, n_shingles, start of every retrieved template."""
+    spark = base.sparkSession
+    bands, shingles = _sketched(spark, templates)
+    if not shingles:
+        return base.select("doc_id", "text_hash", F.lit("").alias("license"), F.lit(0).alias("n_found"), F.lit(0).alias("n_shingles"), F.lit(0).alias("start")).limit(0)
+    known = _known((x[0] for x in shingles), "x")
+    keys = [_bands(w, 1 if w < WINDOW else w // 2, known) for w in sorted({b[0] for b in bands})]
+    places = f"transform(filter(transform(h, (x, i) -> if({known}, i, -1)), i -> i >= 0), i -> named_struct('at', i, 'shingle', array_join(slice(tokens, i + 1, {SHINGLE}), ' ')))"
+    # The generator keeps the filter above it, so that no hash is computed again.
+    hashed = base.select("doc_id", "text_hash", "tokens", F.explode_outer(F.array(shingle_hashes("tokens"))).alias("h"))
+    touched = hashed.where(F.expr(f"exists(h, x -> {known})"))
+    found = checkpointed(touched.select("doc_id", "text_hash", F.expr(f"concat({', '.join(keys)})").alias("bands"), F.expr(places).alias("places")))
+
+    of_band = F.broadcast(spark.createDataFrame(bands, "size int, band long, license string"))  # bounded by LITERALS
+    of_shingle = F.broadcast(spark.createDataFrame([x[1:] for x in shingles], "shingle string, license string, n_shingles int"))  # likewise
+    names = ["doc_id", "text_hash", "license"]
+    none = lambda kind: F.lit(None).cast(kind)
+    retrieved = found.select("doc_id", "text_hash", F.inline("bands")).join(of_band, ["size", "band"]).select(*names, none("string").alias("shingle"), none("int").alias("n_shingles"), none("int").alias("at"))
+    occurs = found.select("doc_id", "text_hash", F.inline("places")).join(of_shingle, "shingle").select(*names, "shingle", "n_shingles", "at")
+    each = retrieved.union(occurs).groupBy(*names, "shingle").agg(F.max("n_shingles").alias("n_shingles"), F.min("at").alias("at"))
+    return each.groupBy(*names).agg(
+        F.count("shingle").cast("int").alias("n_found"), F.max("n_shingles").alias("n_shingles"), F.min("at").alias("start"), F.count_if(F.col("shingle").isNull()).alias("_retrieved")
+    ).where("_retrieved > 0").drop("_retrieved")
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per found license: doc_id, text_hash, license, n_found, n_shingles, start (word of its first shingle)."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), words(F.col(text_col)).alias("tokens"))
-    hashed = base.withColumn("h", shingle_hashes(F.col("tokens")))
-    # One array of (band, place) a document; the explode and the join below stay in generated code.
-    flat = F.flatten(F.transform(_sketches(F.col("h"), WINDOW // 2), lambda w: F.transform(w["bands"], lambda b: F.struct(b.alias("band"), w["at"].alias("place"), F.lit(True).alias("long")))))
-    single = F.transform(F.col("h"), lambda x, i: F.struct(x.alias("band"), i.alias("place"), F.lit(False).alias("long")))
-    keyed = hashed.select("doc_id", "text_hash", "tokens", F.concat(single, flat).alias("keys"))
-    bands = F.broadcast(checkpointed(template_bands(spark, templates)))  # bounded by MAX_TEMPLATE_BYTES
-    met = keyed.select("doc_id", "text_hash", "tokens", F.inline_outer("keys")).join(bands, ["band", "long"])
-    # A band may occur at several offsets of a template: the region reaches from the last to the first.
-    slack = F.ceil(F.col("n_words") / 5).cast("int")
-    start = F.greatest(F.col("place") - F.col("at_last") - slack, F.lit(0))
-    region = F.slice("tokens", start + 1, F.col("place") - F.col("at") - start + F.col("n_words") + slack)
-    regions = met.select("doc_id", "text_hash", "license", start.alias("start"), region.alias("region"), "shingles")
-    distinct = regions.groupBy("doc_id", "text_hash", "license", "start").agg(F.max(F.struct(F.size("region").alias("n"), "region")).alias("r"), F.first("shingles").alias("shingles"))
-    checked = distinct.select("doc_id", "text_hash", "license", "start", F.size(F.array_intersect("shingles", _shingles(F.col("r.region")))).alias("n_found"), F.size("shingles").alias("n_shingles"))
-    best = checked.where(F.col("n_found") >= F.col("n_shingles") * share).groupBy("doc_id", "text_hash", "license")
-    return best.agg(F.max("n_found").alias("n_found"), F.first("n_shingles").alias("n_shingles"), F.min_by("start", F.struct(-F.col("n_found"), "start")).alias("start"))
+    out = None
+    for part in _passes(TEMPLATES if templates is None else templates):
+        one = _scan(base, part)
+        out = one if out is None else out.union(one)
+    return out.where(F.col("n_found") >= F.col("n_shingles") * share)
 
 
 def query(spark, sf_dir) -> DataFrame:
@@ -207,7 +294,7 @@ def query(spark, sf_dir) -> DataFrame:
 
 def _oracle() -> str:
     pattern = "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'"
-    values = ", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())
+    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
     return f"""
 WITH t AS (SELECT license, regexp_extract_all(lower(text), {pattern}) AS w FROM (VALUES {values}) v(license, text)),
 ts AS (SELECT DISTINCT license, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM t)),

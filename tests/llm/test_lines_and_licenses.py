@@ -134,3 +134,64 @@ def test_license_families(docs):
     for i, family in enumerate(wanted):
         assert got[i] and all(x.startswith(family) for x in got[i]), (family, got.get(i))
     assert all(f"spdx-{x.lower()}" in got[50 + i] for i, x in enumerate(license_scan._SPDX)) and got[98] == {"gpl-header"} and 99 not in got
+
+
+def license_words(text):
+    return "".join(c.lower() if c.isalnum() else " " for c in text).split()
+
+
+def license_shingles(text):
+    w = license_words(text)
+    return {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+
+
+def test_license_recall_with_many_edits(docs):
+    """Copies of short and long templates with words changed, put in, taken out and cut off, down to the threshold: at
+    least 99 of 100 are found, and nothing below it."""
+    t, rng, rows, want = license_scan.TEMPLATES, random.Random(11), [], set()
+    names = [n for n in t if n.endswith(("-text", "-header", "-grant", "-clause", "-notice")) or "-name-0" in n]
+    for name in names:
+        n = len(license_shingles(t[name]))
+        for k in range(40):
+            w = license_words(t[name])
+            for _ in range(rng.randint(0, n // 20)):
+                i = rng.randrange(len(w))
+                w[i : i + rng.choice([0, 1, 1])] = rng.choice([["changed"], ["two", "words"], []])
+            cut = rng.choice([0, 0, rng.randint(0, max(1, n // 6))])
+            w = w[: len(w) - cut] if rng.random() < 0.5 else w[cut:]
+            text, i = f"{'x ' * rng.randint(0, 9)}{' '.join(w)} y{k}", len(rows)
+            a = license_shingles(t[name])
+            if len(a & license_shingles(text)) >= 0.8 * len(a):
+                want.add((i, name))
+            rows.append((i, text))
+    got = {(r.doc_id, r.license): r for r in license_scan.scan(docs(rows)).collect()}
+    near = [x for x in want if got.get(x) and got[x].n_found < 0.87 * got[x].n_shingles]
+    assert len(want) > 600 and len(near) > 60 and len(want - set(got)) <= len(want) // 100
+    for (i, name), r in got.items():
+        a = license_shingles(t[name])
+        assert r.n_found == len(a & license_shingles(rows[i][1])) >= 0.8 * len(a) and r.n_shingles == len(a)
+
+
+def test_license_with_text_put_in(docs):
+    w = license_scan.TEMPLATES["gpl-header"].split()
+    apart = " ".join([*w[:21], *(f"between{k}" for k in range(300)), *w[21:]])
+    (found,) = [r for r in license_scan.scan(docs([(1, apart)])).collect() if r.license == "gpl-header"]
+    assert (found.n_found, found.n_shingles) == (34, 38)
+
+
+def test_templates_of_more_than_one_pass(docs, monkeypatch):
+    """Over 1 MiB of templates, in passes: the same result as in one."""
+    rng = random.Random(12)
+    made = {f"made-{k}": " ".join(f"{rng.choice('abcdefgh')}{rng.randint(0, 400)}" for _ in range(rng.choice([3, 5, 7, 11, 40, 9000]))) for k in range(160)}
+    assert sum(map(len, made.values())) > 1 << 20
+    rows = [(k, f"some words before {t} and after") for k, t in enumerate(made.values()) if len(t) < 400] + [(500, list(made.values())[-1])]
+    few = {k: t for k, t in made.items() if len(t) < 400}
+    want = sorted(map(str, license_scan.scan(docs(rows), few).collect()))
+    assert len(want) >= sum(len(t.split()) >= 5 for t in few.values())
+    monkeypatch.setattr(license_scan, "LITERALS", 500)
+    assert sorted(map(str, license_scan.scan(docs(rows), few).collect())) == want
+    monkeypatch.undo()
+    long = [k for k, t in made.items() if len(t) > 400]
+    text = " ".join(made[long[-1]].split()[1000:8600])
+    got = {(r.doc_id, r.license) for r in license_scan.scan(docs([(1, text), (2, "nothing of it")]), {k: made[k] for k in long}).collect()}
+    assert got == {(1, long[-1])} and license_scan.scan(docs(rows), {"short": "two words"}).count() == 0
