@@ -1,8 +1,9 @@
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatloom.llm import decontaminate as D
 
@@ -32,10 +33,29 @@ def bench(spark, items):
     return spark.createDataFrame([(i, t, "clash") for i, t in items], "item_id long, text string, terms string")
 
 
+def plain_near(rows, items, slop=5, rare=3):
+    """Per document the items with a window whose rarest words, and 0.8 of all, stand within slop words of their places."""
+    docs = {i: words(t) for i, t in rows}
+    seen = Counter(w for d in docs.values() for w in d)
+    out = {i: set() for i in docs}
+    for item, t in items:
+        b = words(t)
+        n = min(13, len(b))
+        for k in range(len(b) - n + 1 if b and item is not None else 0):
+            order = sorted((seen[w], at, w) for at, w in enumerate(b[k : k + n]) if seen[w])
+            for i, d in docs.items():
+                for p in (p for p, w in enumerate(d) if order and w == order[0][2]):
+                    near = [w in d[max(0, p - order[0][1] + at - slop) : max(0, p - order[0][1] + at + slop + 1)] for _, at, w in order]
+                    if sum(near) >= math.ceil(0.8 * n) and all(near[:rare]):
+                        out[i].add(str(item))
+    return {i: sorted(v) for i, v in out.items()}
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_against_brute_force(spark, docs, small, monkeypatch):
     if not small:
-        monkeypatch.setattr(D, "BROADCAST_BYTES", -1)
+        for name in ("BROADCAST_BYTES", "BROADCAST_TERMS", "BROADCAST_ROWS"):
+            monkeypatch.setattr(D, name, -1)
     rng = random.Random(4)
     vocabulary = ["the", "of", "Éa", "éa", "naïve", "x1", "Straße", "日本", "ſ", "µ", "K", "rare"]
     text = lambda n: rng.choice([" ", "-", "\n", "_ "]).join(rng.choice(vocabulary) + rng.choice(["", "", str(rng.randint(0, 9))]) for _ in range(n))
@@ -44,11 +64,18 @@ def test_against_brute_force(spark, docs, small, monkeypatch):
     for k in range(40):
         b = words(rng.choice(items)[1])
         rows.append((100 + k, f"{text(rng.randint(0, 300))} {' '.join(b[rng.randint(0, 3):]).upper() if k % 2 else '; '.join(b)} {text(5)}"))
+    for k in range(12):
+        b = words(items[k][1])
+        b[rng.randrange(len(b) + 1) : 0] = ["new"] * rng.randint(0, 2)
+        rows.append((150 + k, f"{text(9)} {' '.join(b)} {text(5)}"))
     rows += [(200, None), (201, ""), (202, "--- ___"), (203, "of " * 2000), (None, "the the the")]
-    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in D.contamination(docs(rows), bench(spark, items)).collect()}
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated, r.near_items) for r in D.contamination(docs(rows), bench(spark, items)).collect()}
+    near = plain_near(rows, items)
     for i, t in rows:
-        assert got[i] == plain(t, items), (i, t)
-    assert sum(v[3] for v in got.values()) > 10
+        assert got[i] == (*plain(t, items), near[i]), (i, t)
+    assert sum(v[3] for v in got.values()) > 10 and sum(set(v[2]) < set(v[4]) for v in got.values()) > 5
+    slim = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in D.contamination(docs(rows), bench(spark, items), proximity=False).collect()}
+    assert slim == {i: v[:4] for i, v in got.items()}
 
 
 def test_repeated_rows_and_empty(spark, docs):
@@ -61,8 +88,16 @@ def test_repeated_rows_and_empty(spark, docs):
 
 def test_proximity(spark, docs):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
-    rows = [(1, "x " * 9 + item), (2, "x beta alpha gamma delta zeta epsilon eta inserted iota theta kappa lambda nu y"), (3, "alpha " + "x " * 40 + "beta nu")]
-    base = docs(rows).select("doc_id", D.words(F.col("text")).alias("tokens"))
-    ranked = D.by_rarity(D.test_windows(bench(spark, [(7, item)])), base, True)
-    assert {r.doc_id for r in D.proximity_matches(base, ranked, True, ["doc_id"]).collect()} == {1, 2}
-    assert [(r.doc_id, r.start, r.length) for r in D.exact_matches(base, ranked, True, ["doc_id"]).collect()] == [(1, 9, 13)]
+    rows = [(1, "x " * 9 + item), (2, "x beta gamma delta zeta epsilon eta inserted iota theta kappa lambda mu nu y"), (3, "alpha " + "x " * 40 + "beta nu"), (4, item.replace("beta", "other"))]
+    got = {r.doc_id: (r["items"], r.near_items) for r in D.contamination(docs(rows), bench(spark, [(7, item)])).collect()}
+    assert got[1] == (["7"], ["7"]) and got[2] == ([], ["7"]) and got[3] == ([], [])
+    assert got[4] == ([], ["7"])
+
+
+def test_common_passages_and_long_texts(spark, docs):
+    """A passage in most documents, many items that share it, and a very long text: all found, each row once."""
+    shared = " ".join(f"w{k}" for k in range(60))
+    items = [(k, f"{shared} own{k} words{k}") for k in range(30)]
+    rows = [(k, f"before{k} {shared} after") for k in range(300)] + [(1000, f"{shared} gap " * 400 + "own3 words3"), (1001, "w1 " * 20_000)]
+    got = {r.doc_id: (r.n_hit, len(r["items"])) for r in D.contamination(docs(rows), bench(spark, items)).collect()}
+    assert all(got[k] == (60, 30) for k in range(300)) and got[1000] == (24_000, 30) and got[1001] == (0, 0)
