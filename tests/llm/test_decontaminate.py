@@ -88,7 +88,7 @@ def test_repeated_rows_and_empty(spark, docs):
 
 def test_proximity(spark, docs):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
-    rows = [(1, "x " * 9 + item), (2, "x beta gamma delta zeta epsilon eta inserted iota theta kappa lambda mu nu y"), (3, "alpha " + "x " * 40 + "beta nu"), (4, item.replace("beta", "other"))]
+    rows = [(1, "x " * 9 + item), (2, "x beta gamma delta zeta epsilon eta inserted iota theta kappa lambda mu nu y"), (3, "alpha " + "x " * 40 + "beta nu"), (4, item.replace("mu", "other")), (5, "alpha alpha mu mu mu")]
     got = {r.doc_id: (r["items"], r.near_items) for r in D.contamination(docs(rows), bench(spark, [(7, item)])).collect()}
     assert got[1] == (["7"], ["7"]) and got[2] == ([], ["7"]) and got[3] == ([], [])
     assert got[4] == ([], ["7"])
