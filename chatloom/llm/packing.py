@@ -9,7 +9,8 @@ pieces above one third pair among themselves, and smaller pieces fill the remain
 fit, longest first. The plan says which ranks of a length go where; every piece finds its rank by
 a prefix sum over per-partition counts, and its place by a search in the plan.
 
-Defined cases: a null or empty text is the end token alone; repeated rows and equal ids are packed
+Defined cases: a null or empty text is the end token alone; a very long one becomes many pieces; ids
+are integers (others fail the cast) and may be null; pieces of equal length are placed in any order; repeated rows and equal ids are packed
 separately; only documents longer than the capacity are cut, the last piece keeping the rest; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -17,8 +18,11 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import json
+import unicodedata
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,19 +48,40 @@ def default_tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The normalizer and pre-tokenizer under which texts may be cut into chunks; others get whole texts. Fixed values.
+CUT_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUT_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _may_be_cut(tokenizer: str) -> bool:
+    known = json.loads(tokenizer)
+    steps = (known.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return known.get("normalizer") == CUT_NORMALIZER and (steps[0].get("pattern") or {}).get("Regex") == CUT_PATTERN
+
+
+@cache
+def _makes_marks() -> str:
+    """A class of the characters that are, or that composing and lower-casing turn into, letters with combining marks."""
+    mark = lambda t: any(unicodedata.category(x)[0] == "M" for x in t)
+    letters = (c for c in map(chr, range(0x80, 0x30000)) if not "\ud800" <= c <= "\udfff")
+    return "[\\p{M}" + "".join(f"\\x{{{ord(c):x}}}" for c in letters if not mark(c) and mark(unicodedata.normalize("NFC", c).lower())) + "]"
+
+
 class ChunkEncoder:
     """Token ids of whole texts. Each distinct chunk between white space is encoded once.
 
     Spaces are also put between a letter and an ASCII sign other than an apostrophe, and A-Z are
     lower-cased, which no id depends on but which leaves fewer distinct chunks. Texts that hold a
-    combining mark (which may compose over such a cut) or the start of a special token are encoded
-    whole instead.
+    combining mark (which may compose over such a cut), a letter that is normalized to one with a
+    mark, or the start of a special token are encoded whole instead; so are all texts if the
+    tokenizer normalizes or cuts in other ways.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts = _may_be_cut(self.tokenizer.to_str())
         self.known: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
@@ -83,7 +108,9 @@ class ChunkEncoder:
     def batch(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit bytes; none for a null."""
         texts = pc.fill_null(texts, "")
-        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "\\p{M}"))
+        if not self.cuts:
+            return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, _makes_marks()))
         plain = pc.replace_substring_regex(pc.ascii_lower(pc.if_else(odd, "", texts)), "[\\t-\\r]", " ")
         lists = pc.split_pattern(pc.replace_substring_regex(plain, "(\\p{L})([!-&(-/:-@\\[-`{-~])", "\\1 \\2"), " ")
         chunks = lists.flatten().dictionary_encode()
@@ -262,24 +289,23 @@ def place(ranked: DataFrame, runs: list[tuple[int, int, int, int, int]]) -> Data
     return ranked.mapInPandas(run, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    parts = checkpointed(pieces(docs, tokenizer_path or default_tokenizer_path(), capacity, end_id, id_col, text_col).withColumn("part", F.spark_partition_id()).withColumn("tie", F.monotonically_increasing_id()))
+def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, the ids if wanted, sequence_id, offset."""
+    parts = checkpointed(pieces(docs, tokenizer_path or default_tokenizer_path(), capacity, end_id, id_col, text_col, with_ids).withColumn("part", F.spark_partition_id()).withColumn("tie", F.monotonically_increasing_id()))
     # Ranks within a length: counts per (partition, length), their prefix sums, and the local row number.
     counts = parts.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     runs, _ = plan_packing(histogram, capacity)
     before = counts.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     local = F.row_number().over(Window.partitionBy("part", "length").orderBy("tie")) - 1
-    ranked = parts.withColumn("local", local).join(before, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("local")).alias("rank"))
+    ranked = parts.withColumn("local", local).join(before, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []), (F.col("before") + F.col("local")).alias("rank"))
     return place(ranked, runs)
 
 
-def sequences(placed: DataFrame, piece_ids: DataFrame) -> DataFrame:
+def sequences(placed: DataFrame) -> DataFrame:
     """The packed sequences: sequence_id, ids array<int>, lengths array<long> (for block-diagonal attention).
-    placed: from pack_documents; piece_ids: from pieces(with_ids=True), joined by (doc_id, piece)."""
-    joined = placed.join(piece_ids.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
-    rows = joined.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "length", "ids"))).alias("rows"))
+    placed: from pack_documents(with_ids=True); a sequence has at most `capacity` ids."""
+    rows = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "length", "ids"))).alias("rows"))
     return rows.select("sequence_id", F.flatten(F.transform("rows", lambda r: r["ids"])).alias("ids"), F.transform("rows", lambda r: r["length"]).alias("lengths"))
 
 

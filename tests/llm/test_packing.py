@@ -43,7 +43,7 @@ def words(rng, n):
 
 def test_ids_are_those_of_the_tokenizer():
     rng = random.Random(1)
-    odd = ["á ́b", "ΟΔΟΣ ΣΑΣ x", "<|endoftext|> x<|endoftext|>y", "İ İ", "e ́", "don't 've", "it 's", "a\x1cb", "  ", "​ x", "漢字 テスト。", "x" * 5000, "\x85q r", "J̌x", "a\tb\x0bc\r\nd", "x.'s y", "", None]
+    odd = ["á ́b", "ΟΔΟΣ ΣΑΣ x", "<|endoftext|> x<|endoftext|>y", "İ İ", "İ.", "İ, ok", "Hİ-x", "TBMM İ. H.", "ড়&", "x(שׁ)", "e ́", "don't 've", "it 's", "a\x1cb", "  ", "​ x", "漢字 テスト。", "x" * 5000, "\x85q r", "J̌x", "a\tb\x0bc\r\nd", "x.'s y", "", None]
     texts = odd + [words(rng, rng.randint(1, 200)) for _ in range(50)]
     import pyarrow as pa
 
@@ -93,8 +93,40 @@ def test_pack(docs):
     assert all(t in want for t in texts) and len(bins) <= 1.15 * sum(r.length for r in got) / 512 + 1
 
 
+def test_ids_of_random_texts():
+    """Marks, cased letters, signs and any other character, mixed at random."""
+    import unicodedata
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    every = [c for c in map(chr, range(0x20, 0x30000)) if unicodedata.category(c) not in ("Cn", "Cs")]
+    marks, cased = [c for c in every if unicodedata.category(c)[0] == "M"], [c for c in every if c.lower() != c or c.upper() != c]
+    kept = [c for c in every if unicodedata.normalize("NFC", c) != c] + list("İßſK'’")
+    signs = list("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ \t\n'")
+    texts = ["".join(rng.choice(rng.choice((signs, *rng.sample((every, marks, cased, kept), 2)))) for _ in range(rng.randint(1, 14))) for _ in range(8000)]
+    encoder, plain = packing.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    for at in range(0, len(texts), 500):
+        for text, ids in zip(texts[at : at + 500], encoder.batch(pa.array(texts[at : at + 500]))):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_other_tokenizers_get_whole_texts(docs, tmp_path):
+    from tokenizers import models, pre_tokenizers
+
+    other = Tokenizer(models.WordLevel({"[UNK]": 0, "Hello": 1, "hello": 2, "end": 3}, unk_token="[UNK]"))
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    other.save(str(tmp_path / "words.json"))
+    (row,) = packing.pack_documents(docs([(1, "Hello hello x")]), str(tmp_path / "words.json"), end_id=3, with_ids=True).collect()
+    assert list(row.ids) == [1, 2, 0, 3]
+
+
 def test_sequences_and_empty(docs):
-    df = docs([(1, "one two"), (2, "three"), (3, "four five six")])
-    out = packing.sequences(packing.pack_documents(df), packing.pieces(df, PATH, with_ids=True)).collect()
-    assert len(out) == 1 and sum(out[0].lengths) == len(out[0].ids)
+    rows = [(1, "one two"), (2, "three"), (3, "four five six"), (None, "seven"), (None, "eight nine"), (5, "same"), (5, "same"), (5, "other words " * 40)]
+    out = packing.sequences(packing.pack_documents(docs(rows), capacity=32, with_ids=True)).collect()
+    plain = Tokenizer.from_file(PATH)
+    assert all(sum(r.lengths) == len(r.ids) <= 32 for r in out)
+    got = sorted(str(list(r.ids[sum(r.lengths[:k]) : sum(r.lengths[: k + 1])])) for r in out for k in range(len(r.lengths)))
+    whole = [plain.encode(t, add_special_tokens=False).ids + [1] for _, t in rows]
+    assert got == sorted(str(w[at : at + 32]) for w in whole for at in range(0, len(w), 32))
     assert packing.pack_documents(docs([])).count() == 0
