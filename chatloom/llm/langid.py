@@ -20,7 +20,7 @@ the two don't lie apart the floor is 0, and nothing is unfamiliar.
 
 Defined cases: a null text or one without a letter is `und` with score 0; rows with a null lang,
 or a null doc_id, are not learned from; with nothing to learn from every row is `und`; equal texts
-get equal predictions; an empty table gives an empty result; other columns are ignored.
+get equal predictions; equal margins take the first language by name; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

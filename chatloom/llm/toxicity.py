@@ -11,7 +11,9 @@ Lexicon, weights and calibration are fitted on the driver from a bounded sample
 at most PER_LABEL distinct texts of each label, of at most MAX_FIT_CHARS characters, chosen by the
 hash of the text. Scoring covers every row and whole texts.
 
-Defined cases: a null or empty text has no match and gets the score of a text without matches;
+Defined cases: a null or empty text has no match and gets the score of a text without matches; a
+very long one is read whole, in time linear in its length and matches; of matches at one place the
+heaviest counts, and entries of equal weight are one; ids are integers, others fail the cast;
 rows without a label, or with a null doc_id, are not learned from; repeated label rows count once
 a text and label; with no labels of either kind the built-in seed words and a fixed calibration
 are used; an empty table gives an empty result; other columns are ignored.
@@ -23,8 +25,10 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -80,10 +84,10 @@ _undo = [str.maketrans(SUBSTITUTES | {"1": one, "|": one}) for one in "il"]
 
 
 def folded(text: str | None) -> str:
-    """The text as words between single spaces or more, then the words with substitutions undone."""
+    """The text as words between single spaces, then the words with substitutions undone."""
     if not text:
         return "  "
-    plain = text.translate(_fold)
+    plain = " ".join(text.translate(_fold).split())
     more = []
     for m in _MIXED.finditer(text):
         word = m[0].translate(_fold_signs).rstrip("!|+ ")
@@ -129,7 +133,10 @@ class Model:
                 else:
                     best[end - n + 1] = max(w, best.get(end - n + 1, 0.0))
         if spans:
-            best = {at: w for at, w in best.items() if not any(lo <= at < hi for lo, hi in spans)}
+            spans.sort()
+            starts, reach = [lo for lo, _ in spans], list(accumulate((hi for _, hi in spans), max))
+            inside = lambda at: (k := bisect_right(starts, at)) > 0 and reach[k - 1] > at
+            best = {at: w for at, w in best.items() if not inside(at)}
         return sorted(best.items()), s.count(" ")
 
     def features(self, text: str | None) -> tuple[float, float, float]:

@@ -66,7 +66,7 @@ def test_toxic_forms(model, text):
     assert model.score(text) >= toxicity.THRESHOLD
 
 
-@pytest.mark.parametrize("text", ["", None, "idiotic?"[:0], "a good day", "the trash can is full", "a clown fish in the trash bin", "mistrashed", "2024 100% $5 1d4", "price $100 and 3 items", "x" * 100_000])
+@pytest.mark.parametrize("text", ["", None, "idiotic?"[:0], "a good day", "the trash can is full", "a clown fish in the trash bin", "the trash, can", "mistrashed", "2024 100% $5 1d4", "price $100 and 3 items", "x" * 100_000])
 def test_clean_forms(model, text):
     assert model.score(text) < toxicity.THRESHOLD
 
@@ -84,3 +84,85 @@ def test_lexicon_finds_families_and_whole_words():
     clean = [f"plain words and more here {k}" for k in range(100)]
     lexicon = toxicity.fit_lexicon(toxic, clean)
     assert " brak" in lexicon and " zonk " in lexicon and " and " not in lexicon and " here " not in lexicon
+
+
+def plain_matches(model, text):
+    """Every place and entry tried one by one: the heaviest entry at each start that no exception covers."""
+    s = toxicity.folded(text)
+    hidden = {at for e in model.exceptions for k in range(len(s)) if s.startswith(f" {e} ", k) for at in range(k, k + len(e) + 1)}
+    best = {}
+    for entry, weight in model.lexicon.items():
+        for at in range(len(s)):
+            if s.startswith(entry, at) and at not in hidden:
+                best[at] = max(weight, best.get(at, 0.0))
+    return sorted(best.items())
+
+
+def test_matches_against_brute_force(model):
+    import random
+
+    rng = random.Random(6)
+    words = ["trash", "can", "cans", "bin", "Idiot", "1d10t", "clown", "fish", "circus", "sc\u00fcm", "mor0n", "i.d.i.o.t", "the", "folder", "take", "out", "a,", "x!", "loser", "bracket", "collection"]
+    for _ in range(300):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", "  ", ", ", "-", "\n"]) for _ in range(rng.randint(0, 40)))
+        assert model.matched(text)[0] == plain_matches(model, text), text
+
+
+def test_many_matches_and_exceptions_take_linear_time(model):
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        assert model.score("trash can " * n) < toxicity.THRESHOLD < model.score("trash can idiot " * n)
+        return time.perf_counter() - began
+
+    took(100)
+    assert took(80_000) < 20 * took(8_000) + 0.5
+
+
+def test_calibration_is_the_ridge_penalised_likelihood(model):
+    """The fitted slopes are a stationary point of the penalised likelihood that the docstring names."""
+    toxic = [f"you are an idiot and a moron number {k}" for k in range(20)] + [f"a fine day {k}" for k in range(5)]
+    clean = [f"a fine day with good words {k}" for k in range(60)] + ["what a clown"] * 3
+    w = np.array(toxicity.calibrate(model, toxic, clean, 0.25))
+    x = np.array([(1.0, *model.features(t)) for t in [*toxic, *clean]])
+    y = np.repeat([1.0, 0.0], [len(toxic), len(clean)])
+    share = np.repeat([0.25 / len(toxic), 0.75 / len(clean)], [len(toxic), len(clean)]) * len(y)
+    slope = x.T @ (share * (y - 1 / (1 + np.exp(-x @ w)))) - 0.05 * w
+    assert np.abs(slope[w != 0]).max() < 1e-5 and (w[1:] >= 0).all()
+
+
+def plain_language(texts, labels, given, ridge=langid.RIDGE):
+    """The same classifier without hashing, matrices of bits or batches: kernels of sets, and plain solves."""
+
+    def grams(text, k):
+        s = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        return {s[i : i + k] for i in range(len(s) - k + 1)}
+
+    def kernel(a, b):
+        return sum(len(grams(a, k) & grams(b, k)) / np.sqrt(len(grams(a, k)) * len(grams(b, k))) for k in langid.ORDERS) / len(langid.ORDERS)
+
+    languages = sorted(set(labels))
+    among = np.array([[kernel(a, b) for b in texts] for a in texts])
+    value, vector = np.linalg.eigh(among)
+    root = vector[:, value > 1e-6] / np.sqrt(value[value > 1e-6])
+    phi = among @ root
+    weight = np.array([1 / labels.count(x) for x in labels])[:, None]
+    target = np.array([[1.0 if x == y else -1.0 for y in languages] for x in labels])
+    solved = np.linalg.solve((phi * weight).T @ phi + ridge * np.eye(phi.shape[1]), (phi * weight).T @ target)
+    margin = np.array([[kernel(t, b) for b in texts] for t in given]) @ root @ solved
+    return [languages[k] for k in margin.argmax(axis=1)], np.clip((margin.max(axis=1) + 1) / 2, 0, 1)
+
+
+def test_language_against_a_plain_version():
+    texts = ["the cat sat on the mat", "those are other things there", "le chat est sur la table", "nous avons \u00e9t\u00e9 dans la maison", "die katze sitzt auf dem tisch", "wir waren gestern in der schule"]
+    labels = ["en", "en", "fr", "fr", "de", "de"]
+    given = [*texts, "the table", "la chatte est l\u00e0", "wir sitzen, 12 there", "zzz", "DIE MAISON"]
+    names, scores = plain_language(texts, labels, given)
+    got, got_scores = langid.fit(texts, labels, 12).predict(given)
+    assert got == names and np.abs(got_scores - scores).max() < 1e-4
+
+
+def test_equal_margins_take_the_first_language():
+    model = langid.fit(["abab abab", "abab abab"], ["y", "x"], 8)
+    assert model.predict(["abab"])[0] == ["x"]
