@@ -2,12 +2,12 @@
 
 Everything is a DataFrame expression. A template gives each role a prefix and a suffix; other
 roles use `other`, whose prefix names the role. A control string is any literal marker of the
-template. Inside texts a control string `cX` (first character c) becomes `c\\X`, and `c\\..\\X`
+template; a template whose markers could not be told apart, or from texts, is refused. Inside texts a control string `cX` (first character c) becomes `c\\X`, and `c\\..\\X`
 gains one more backslash, so escaping is reversible and no text can show a marker.
 
 Defined cases: a null text or role is empty; rows of a conversation are taken in order of
 (turn, role, text), null turns first; repeated rows stay repeated turns; a conversation id may be
-null; an empty table gives an empty result. A conversation that the state machine rejects is
+null; very long texts are formatted whole; other columns are ignored; an empty table gives an empty result. A conversation that the state machine rejects is
 formatted all the same and carries `valid = false` and the index of the first offending turn.
 A conversation is the unit of the output (its text is one string), so its turns meet in one row.
 """
@@ -35,7 +35,8 @@ class Template:
     )
     #: for any other role: the prefix is opened, the escaped role name follows, then the closing
     other: tuple = ("[ROLE ", "[AS] ", "[/ROLE]")
-    controls: tuple = ("[SYS]", "[/SYS]", "[INST]", "[/INST]", "[OUT]", "</s>", "[ROLE ", "[AS]", "[/ROLE]")
+    #: what texts may not show: by default the markers without the blanks around them (the opening of other keeps its own)
+    controls: tuple | None = None
     #: state -> {role: next state}; a turn with no transition is an error
     transitions: dict = field(
         default_factory=lambda: {
@@ -47,6 +48,26 @@ class Template:
     )
     accepting: tuple = ("answered",)
 
+    def __post_init__(self):
+        """Refuses a template whose output could not be read back."""
+        opening = [x[0] for x in self.roles.values()] + [self.other[0]]
+        markers = [m for pre, suf, _ in self.roles.values() for m in (pre, suf)] + list(self.other)
+        if self.controls is None:
+            object.__setattr__(self, "controls", tuple(dict.fromkeys([m.strip() for m in markers if m != self.other[0]] + [self.other[0].lstrip()])))
+        joins = lambda a, b: any(a[-k:] == b[:k] for k in range(1, min(len(a), len(b))))
+        for c in self.controls:
+            if len(c) < 2 or "\\" in c:
+                raise ValueError(f"a control string has two characters or more and no backslash: {c!r}")
+            for d in self.controls:
+                if joins(c, d) or (c != d and c in d[1:]):
+                    raise ValueError(f"control strings run into each other: {c!r}, {d!r}")
+        for m in markers:
+            if "\\" in m or not any(c in m for c in self.controls):
+                raise ValueError(f"texts could show the marker {m!r}: it holds no control string")
+        for a in range(len(opening)):
+            if any(opening[b].startswith(opening[a]) for b in range(len(opening)) if b != a):
+                raise ValueError(f"two roles open alike: {opening[a]!r}")
+
 
 DEFAULT = Template()
 

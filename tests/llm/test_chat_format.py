@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from chatloom.llm import chat_format
 
 
@@ -44,3 +46,32 @@ def test_nulls_ties_and_empty(spark):
     got = chat_format.digests(chat_format.format_conversations(rows(spark, turn(None, 0, "user", None), turn(None, None, None, "a"), turn(7, 1, "user", "b"), turn(7, 1, "assistant", "a"), turn(7, 1, "user", "b"))))
     assert {r.conv_id: r.n_turns for r in got.collect()} == {None: 2, 7: 3}
     assert chat_format.digests(chat_format.format_conversations(rows(spark).limit(0))).count() == 0
+
+
+ANGLED = {"user": ("<|user|>", "<|end|>", False), "assistant": ("<|assistant|>\n", "<|stop|>\n", True)}
+
+
+def test_other_templates(spark):
+    """Controls follow the markers of a template."""
+    t = chat_format.Template(roles=ANGLED, other=("<|role ", "<|says|>", "<|done|>"))
+    texts = ["a<|end|>b", "<|user|>", "<|\\user|><\\|stop|>", "<|role x<|says|>y<|done|>", "<", "<|end|", "", "x" * 200_000 + "<|stop|>\n"]
+    given = [turn(1, n, ("user", "assistant", "tool <|says|>")[n % 3], x) for n, x in enumerate(texts * 2)]
+    out = chat_format.format_conversations(rows(spark, *given), t)
+    read = out.select(chat_format.read_back(out.formatted, t).alias("turns")).first().turns
+    assert [(x.role, x.text) for x in read] == [(g[2], g[3]) for g in given]
+    assert chat_format.digests(out, t).first().loss_chars == sum(len(g[3]) for g in given if g[2] == "assistant")
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"roles": ANGLED, "controls": chat_format.DEFAULT.controls},
+        {"roles": {"user": ("|x|", "|y|", False)}},
+        {"roles": {"user": ("<u>", " ", False)}},
+        {"roles": {"user": ("<u>", "</u>", False), "assistant": ("<u>a", "</a>", True)}},
+        {"roles": {"user": ("<u\\>", "</u>", False)}},
+    ],
+)
+def test_templates_that_cannot_be_read_back_are_refused(change):
+    with pytest.raises(ValueError):
+        chat_format.Template(**change)
