@@ -5,7 +5,8 @@ bytes and rows; the driver turns these totals, one row a partition, into offsets
 inside each partition adds the local running sum. A document goes to the shard in which the
 middle of its byte range falls, so that every cut is at most half a document off its target.
 
-Defined cases: a null text has size `overhead` and crc32 0; null ids sort first; repeated
+Defined cases: a null text has size `overhead` and crc32 0; a very long text is one document and may
+fill a shard by itself; null ids sort first; equal ids are taken in input order; repeated
 rows stay separate rows; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -63,3 +64,13 @@ def query(spark, sf_dir) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+ORACLE_SQL = """
+WITH t AS (SELECT list(list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) ORDER BY i) AS crcs FROM range(256) r(i)),
+d AS (SELECT doc_id, list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda h: ('0x' || h)::UBIGINT) AS b FROM documents),
+s AS (SELECT doc_id, len(b) + 16 AS size, xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda a, x: xor(a >> 8, crcs[(xor(a, x) & 255)::INT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32 FROM d, t),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST) AS upto, sum(size) OVER () AS total FROM s),
+g AS (SELECT *, least((2 * upto - size) * 40 // (2 * total), 39)::INT AS shard FROM p)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1)::BIGINT AS slot, NULL::INT AS grown_shard FROM g
+"""

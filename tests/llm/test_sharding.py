@@ -34,3 +34,25 @@ def test_nulls_ties_and_copies(docs):
 
 def test_empty(docs):
     assert shards(docs([]), 40) == []
+
+
+def plain(rows, n):
+    """(id, size, crc, shard, slot) by one running sum over all rows."""
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    sizes = [len((t or "").encode()) + 16 for _, t in ordered]
+    out, upto, slots = [], 0, [0] * n
+    for (i, t), size in zip(ordered, sizes):
+        upto += size
+        shard = min((2 * upto - size) * n // (2 * sum(sizes)), n - 1)
+        out.append((i, size, zlib.crc32((t or "").encode()), shard, slots[shard]))
+        slots[shard] += 1
+    return out
+
+
+def test_against_brute_force(docs):
+    import random
+
+    rng = random.Random(9)
+    rows = [(k * 7 % 2003, rng.choice([None, "", "\u00e9" * rng.randint(0, 50), "x" * rng.randint(0, 4000)])) for k in range(2003)] + [(None, "x" * 300_000)]
+    for n in (1, 7, 40):
+        assert sorted(map(str, ((r["id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in shards(docs(rows, 16), n)))) == sorted(map(str, plain(rows, n)))
