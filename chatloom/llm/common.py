@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
+from ..session import checkpointed, ensure_checkpoint_dir, table  # noqa: F401
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Takes the shared folder that the session names; only a single-machine session gets one of its own."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="chatloom-checkpoint-")
-    sc.setCheckpointDir(shared)
+def fresh(name: str, *taken: list[str]) -> str:
+    """A column name like `name` that none of the given lists has, whatever its case."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Writes df to the shared checkpoint folder and cuts its lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def ascii_lower_bytes(text: Column) -> Column:
@@ -48,3 +39,17 @@ def let(value: Column, body) -> Column:
 def wide_hash(*cols: Column) -> list[Column]:
     """Two independent 64-bit hashes: at trillions of keys one alone would collide."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(7919), *cols)]
+
+
+def mapped(df: DataFrame, keep: list[str], text_col: str, run, made: dict[str, Column]) -> DataFrame:
+    """df.mapInArrow(run) over the columns `keep` and the text as the last one, under plain names; the result
+    has `keep` and a column of the given type for each name in `made`, whatever the names."""
+    plain, new = [f"c{i}" for i in range(len(keep))], [f"m{i}" for i in range(len(made))]
+    kept = df.select(*(named(c).alias(p) for c, p in zip(keep, plain)), named(text_col).alias("text"))
+    schema = kept.drop("text").select("*", *(kind.alias(n) for kind, n in zip(made.values(), new))).schema
+
+    def renamed(batches):
+        for batch in run(batches):
+            yield batch.rename_columns([*plain, *new])
+
+    return kept.mapInArrow(renamed, schema).toDF(*keep, *made)

@@ -107,7 +107,7 @@ def postings(base: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
 
 def ranked_windows(windows: DataFrame, terms: DataFrame, small: bool, index: DataFrame) -> DataFrame:
     """window_id, items, src, off, length, and `order`: its terms that occur, struct<n, at, term>, rarest first."""
-    seen = index.where("term > 0").groupBy("term").agg(F.count("*").alias("n"))
+    seen = _small(index.where("term > 0").groupBy("term").agg(F.count("*").alias("n")), small)
     placed = windows.select("window_id", F.posexplode("terms").alias("at", "word")).join(_small(terms, small), "word").join(seen, "term")
     order = placed.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("order"))
     return checkpointed(windows.join(order, "window_id").select("window_id", "items", "src", "off", F.size("terms").alias("length"), "order"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import mapped, table
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -230,11 +230,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
             made = [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(near, pa.bool_())][: len(names)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*keep, *names])
 
-    chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("__text"))
-    schema = chosen.drop("__text")
-    for name, kind in zip(names, (F.lit(""), F.lit(0.0), F.lit(False))):
-        schema = schema.withColumn(name, kind)
-    return chosen.mapInArrow(run, schema.schema)
+    return mapped(docs, keep, text_col, run, dict(zip(names, (F.lit(""), F.lit(0.0), F.lit(False)))))
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, let, table, wide_hash
+from .common import checkpointed, let, named, table, wide_hash
 
 #: ASCII white space within a line.
 BLANKS = " \t\x0b\x0c\r"
@@ -128,7 +128,7 @@ def near_repeats(firsts: DataFrame, docs: DataFrame, near_chars: int) -> DataFra
 def dedup_lines(docs: DataFrame, near_chars: int = NEAR_CHARS, near: bool = True, id_col: str = "doc_id", text_col: str = "text", keep: tuple | list = ()) -> DataFrame:
     """One row per document: doc_id, text_hash, n_lines, n_exact and n_near (lines dropped), kept_text,
     and, if wanted, the columns `keep` of the document unchanged in one struct `others`."""
-    others = F.struct(*keep) if keep else F.lit(None).cast("struct<none:int>")
+    others = F.struct(*map(named, keep)) if keep else F.lit(None).cast("struct<none:int>")
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"), others.alias("others"))
     lines = _lines(base).withColumn("n", F.length("line"))
     h1, h2 = wide_hash(F.col("line"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import checkpointed, fresh, table
 from .components import connected_components
 
 SHINGLE = 3
@@ -95,15 +95,16 @@ def one_of_each(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_c
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     ranked = found.withColumn("rank", rank)
     leads = ranked.groupBy("root").agg(F.min("rank").alias("lead"))
-    gone = ranked.join(leads, "root").where("rank <> lead").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of")).distinct()
-    hashed = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    kept = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (hashed == F.col("__of")), "left_anti")
+    key = [fresh("id", docs.columns), fresh("of", docs.columns)]
+    keyed = lambda df: df.select(F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1]))
+    same = lambda df: df[f"`{id_col}`"].eqNullSafe(F.col(key[0])) & (F.xxhash64(F.coalesce(df[f"`{text_col}`"], F.lit(""))) == F.col(key[1]))
+    gone = keyed(ranked.join(leads, "root").where("rank <> lead")).distinct()
+    kept = docs.join(gone, same(docs), "left_anti")
 
-    repeated = checkpointed(ranked.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of")))
+    repeated = checkpointed(keyed(ranked.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")))
     if repeated.isEmpty():
         return kept
-    same = kept[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(kept[text_col], F.lit(""))) == F.col("__of"))
-    return kept.join(repeated, same, "left_anti").union(kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
+    return kept.join(repeated, same(kept), "left_anti").union(kept.join(repeated, same(kept), "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import checkpointed, mapped, table
 from .langid import held_out
 
 PER_LABEL = 1500
@@ -259,8 +259,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text
             scores = [shared.value.score(x.as_py()) for x in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, name])
 
-    chosen = docs.select(*(F.col(c) for c in keep), F.col(text_col).alias("__text"))
-    return chosen.mapInArrow(run, chosen.drop("__text").withColumn(name, F.lit(0.0)).schema)
+    return mapped(docs, keep, text_col, run, {name: F.lit(0.0)})
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:

@@ -69,3 +69,33 @@ def test_unfamiliar_texts_go(spark, kept):
     out = {r.doc_id for r in P.language(spark, docs.unionByName(made), DATA).collect()}
     assert out - {r.doc_id for r in docs.collect()} == {10**9 + i for i in range(len(short))}
     assert docs.where(F.rlike("text", F.lit("\\p{L}"))).count() == len({i for i in out if i < 10**9})
+
+
+def test_any_column_names(spark, docs):
+    """Columns named like those that the operators make for themselves, or with dots and blanks, come through."""
+    names = ["__text", "__score", "__id", "__of", "id", "of", "id_", "pred", "score", "familiar", "others", "kept_text", "text_hash", "line_no", "root", "rank", "doc", "term", "pos", "a.b", "a b", "TEXT_"]
+    rows = [(i, f"a text of some words with number {i} in it\nand a line that is shared by all of them", "en", *[f"{n}{i}" for n in names]) for i in range(12)]
+    made = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = made
+    for _, stage in P.STAGES[:-1]:
+        kept = stage(spark, kept, DATA)
+        assert kept.dtypes == made.dtypes
+    got = kept.collect()
+    assert 0 < len(got) <= 12 and all(r[3:] == rows[r.doc_id][3:] for r in got)
+
+
+def test_each_stage_runs_once(spark, monkeypatch):
+    """run() reads every document once for each stage."""
+    from chatloom.llm import langid
+
+    seen = spark.sparkContext.accumulator(0)
+    judge = langid.Model.judge
+
+    def counted(self, texts):
+        seen.add(len(texts))
+        return judge(self, texts)
+
+    monkeypatch.setattr(langid.Model, "judge", counted)
+    out = P.run(spark, DATA)
+    n = common.table(spark, DATA, "documents").count()
+    assert out.count() > 0 and seen.value in (0, n)  # 0 if workers had loaded the module before
