@@ -11,9 +11,9 @@ Equal lines meet in an aggregation that combines before its shuffle, so one line
 rows costs no more than others. Then only distinct lines are compared:
   1. Lines one edit apart share their first or their last g characters, g about half the length.
      Lines that share neither with another line are out.
-  2. The rest is keyed by blocks: all of the line but a block of characters (BLOCK, half of a
-     shorter line, the root of a very long one), with the place of the block and the longer
-     length of the pair. Blocks that meet no other line are out.
+  2. The rest is keyed by blocks: all of the line but a block of characters (an eighth within
+     BLOCKS, half of a shorter line, the root of a very long one), with the place of the block and
+     the longer length of the pair. Blocks that meet no other line are out.
   3. Each remaining block emits its deletion variants as hashed keys: without character i, with i;
      and, as the shorter side of a pair, unchanged. Lines that differ by a substitution meet at
      (variant, i); a longer and a shorter line at (variant, unchanged). At each meeting a line is
@@ -36,7 +36,8 @@ from .common import checkpointed, let, named, table, wide_hash
 #: ASCII white space within a line.
 BLANKS = " \t\x0b\x0c\r"
 NEAR_CHARS = 5
-BLOCK = 32
+#: Characters of a block: an eighth of the line within these bounds.
+BLOCKS = (32, 128)
 #: Distinct lines whose texts are fetched by a broadcast of their places; more are fetched by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -71,7 +72,8 @@ def _blocks(lines: DataFrame, near_chars: int) -> DataFrame:
 
     def cut(longer: bool) -> Column:
         c = n if longer else n + 1
-        block = F.greatest(F.least(F.lit(BLOCK), F.ceil(c / 2).cast("int")), F.ceil(F.sqrt(c)).cast("int"))  # long lines: about as many blocks as characters in one
+        eighth, half, root = (F.ceil(x).cast("int") for x in (c / 8, c / 2, F.sqrt(c)))
+        block = F.greatest(F.least(F.greatest(eighth, F.lit(BLOCKS[0])), F.lit(BLOCKS[1]), half), root)  # very long lines: about as many blocks as characters in one
         width = block if longer else block - 1
         parts = F.transform(
             F.sequence(F.lit(0), c - 1, block),
