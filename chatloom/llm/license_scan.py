@@ -193,9 +193,13 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SEPARATORS))
 
 
-def shingle_hashes(tokens: str) -> Column:
-    """The hash of each shingle of a column of words."""
-    return F.expr(f"transform(if(size({tokens}) < {SHINGLE}, array(), sequence(1, size({tokens}) - {SHINGLE - 1})), i -> xxhash64(slice({tokens}, i, {SHINGLE})))")
+def with_hashes(rows: DataFrame) -> DataFrame:
+    """Adds `h`, the hash of each shingle of `tokens`. Each word is hashed once and a shingle from its words' hashes.
+    The generators keep whatever filters come from computing them again."""
+    each = F.expr("transform(tokens, t -> xxhash64(t))")
+    joined = ", ".join(f"v[i + {k}]" for k in range(SHINGLE))
+    runs = F.expr(f"transform(if(size(v) < {SHINGLE}, array(), sequence(0, size(v) - {SHINGLE})), i -> xxhash64({joined}))")
+    return rows.select("*", F.explode_outer(F.array(each)).alias("v")).select("*", F.explode_outer(F.array(runs)).alias("h")).drop("v")
 
 
 def _bands(size: int, step: int, among: str = "") -> str:
@@ -228,7 +232,7 @@ def _passes(templates: dict[str, str]) -> Iterator[dict[str, str]]:
 def _sketched(spark: SparkSession, templates: dict[str, str]) -> tuple[list, list]:
     """Rows (size, band, license) and (hash, shingle, license, n_shingles): at most a few a word of the templates."""
     rows = spark.createDataFrame(list(templates.items()), "license string, text string").withColumn("tokens", words(F.col("text")))
-    cut = rows.withColumn("h", shingle_hashes("tokens"))
+    cut = with_hashes(rows)
     texts = F.expr(f"transform(h, (x, i) -> named_struct('hash', x, 'shingle', array_join(slice(tokens, i + 1, {SHINGLE}), ' ')))")
     kinds = [f"WHEN size(h) >= {LONG} THEN {_bands(WINDOW, 1)}"] + [f"WHEN size(h) {'=' if w < max(SHORT_WINDOWS) else '>='} {w} THEN {_bands(w, 1)}" for w in SHORT_WINDOWS]
     got = cut.select("license", F.expr(f"CASE {' '.join(kinds)} END").alias("bands"), texts.alias("shingles")).collect()
@@ -255,9 +259,7 @@ def _scan(base: DataFrame, templates: dict[str, str]) -> DataFrame:
     known = _known((x[0] for x in shingles), "x")
     keys = [_bands(w, 1 if w < WINDOW else w // 2, known) for w in sorted({b[0] for b in bands})]
     places = f"transform(filter(transform(h, (x, i) -> if({known}, i, -1)), i -> i >= 0), i -> named_struct('at', i, 'shingle', array_join(slice(tokens, i + 1, {SHINGLE}), ' ')))"
-    # The generator keeps the filter above it, so that no hash is computed again.
-    hashed = base.select("doc_id", "text_hash", "tokens", F.explode_outer(F.array(shingle_hashes("tokens"))).alias("h"))
-    touched = hashed.where(F.expr(f"exists(h, x -> {known})"))
+    touched = with_hashes(base).where(F.expr(f"exists(h, x -> {known})"))
     found = checkpointed(touched.select("doc_id", "text_hash", F.expr(f"concat({', '.join(keys)})").alias("bands"), F.expr(places).alias("places")))
 
     of_band = F.broadcast(spark.createDataFrame(bands, "size int, band long, license string"))  # bounded by LITERALS
