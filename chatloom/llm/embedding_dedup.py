@@ -1,28 +1,39 @@
 """Embedding near-dedup by PCA-ordered tiled comparison.
 
 Equal vectors of a label are first merged into one class (its size counts as links). Classes are
-ordered inside their label by the principal coordinate that varies most and cut into tiles of at
-most `tile` vectors. Two tiles are compared only if their coordinate intervals come within the
-largest distance that the threshold allows. Inside a tile pair dot products accumulate over the
-leading principal dimensions; the rest is bounded by the product of the suffix norms, and a pair
-is dropped as soon as that bound falls below the threshold. What survives is checked by the
-cosine of the original vectors in double precision. A tile pair returns link counts and a star per
-connected group, at most two rows a vector, never its links one by one.
+ordered inside their label along a curve through the AXES principal coordinates that vary most
+(their bits interleaved) and cut into tiles of at most `tile` vectors, each with its box in these
+coordinates. Neighbouring tiles form blocks. Two blocks, and in them two tiles, are compared only if
+their boxes come within the largest distance that the threshold allows. Inside a tile pair dot
+products accumulate over the leading principal dimensions; the rest is bounded by the product of the
+suffix norms, and a pair is dropped as soon as that bound falls below the threshold. What survives is
+checked by the cosine of the original vectors in double precision. A block pair returns link counts
+and a star per connected group, at most two rows a vector, never its links one by one.
+
+A tile travels once for every block that its own block may meet, not for every tile, and is rotated
+once for all of them; pairs of blocks are found in SALTS parts of a label. The number of pairs is
+still quadratic in the vectors of one label that no box keeps apart: in many dimensions unrelated
+vectors are closer along any few axes than the threshold's distance.
 
 The principal axes come from second moments over all vectors; they steer the pruning only and
 cannot change the result.
 
 Defined cases: a null label or vector, an empty or zero vector, or one with a null, NaN or infinite
 component links with nothing; vectors of different length never link; rows with a null vec_id link
-but never name a component; repeated rows are vectors of their own; other columns are ignored.
+but never name a component; repeated rows are vectors of their own; a cosine equal to the threshold
+links; of equal ids any may name a component; blocks hold fewer tiles the longer the vectors, one at
+least; vec_id is an integer, others fail the cast; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, table, wide_hash
@@ -30,6 +41,10 @@ from .components import connected_components
 
 #: Vectors in a tile; a tile pair holds tile * tile partial products (8 MB at 1024).
 TILE = 1024
+#: Coordinates that order the vectors, and the bits of each; those that bound a tile.
+AXES, AXIS_BITS, BOX = 4, 12, 8
+#: Tiles in a block at most, and their bytes; parts of a label in which pairs of blocks are found.
+BLOCK, BLOCK_BYTES, SALTS = 16, 16 << 20, 16
 #: Slack of the pruning bounds against rounding; the final check has none.
 SLACK = 1e-9
 
@@ -39,14 +54,22 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
+def _prepared(v: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors, their principal coordinates, and the norms of these from each place on."""
+    u = _unit(v)
+    r = u @ basis
+    return u, r, np.sqrt(np.maximum(0, np.cumsum((r * r)[:, ::-1], axis=1)[:, ::-1]))
+
+
 def linked_pairs(a: np.ndarray, b: np.ndarray, basis: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Indices (i, j) of rows of a and b whose cosine reaches the threshold; i < j if a is b."""
-    ua, ub = _unit(a), _unit(b)
-    ra, rb = ua @ basis, ub @ basis
-    d = basis.shape[0]
-    rest_a = np.sqrt(np.maximum(0, np.cumsum((ra * ra)[:, ::-1], axis=1)[:, ::-1]))
-    rest_b = np.sqrt(np.maximum(0, np.cumsum((rb * rb)[:, ::-1], axis=1)[:, ::-1]))
-    partial, at, few = np.zeros((len(a), len(b))), 0, max(1000, len(a) * len(b) // 20)
+    return _linked(_prepared(a, basis), _prepared(b, basis), threshold, same)
+
+
+def _linked(a: tuple, b: tuple, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    (ua, ra, rest_a), (ub, rb, rest_b) = a, b
+    d = ra.shape[1]
+    partial, at, few = np.zeros((len(ua), len(ub))), 0, max(1000, len(ua) * len(ub) // 20)
     while True:  # whole tiles, while many pairs are alive
         to = min(d, max(4, 2 * at))
         partial += ra[:, at:to] @ rb[:, at:to].T
@@ -90,8 +113,25 @@ def _matrix(column) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in column])
 
 
-def _axes(classes: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
-    """For each vector length: the principal axes as columns, leading first, and the one that varies most."""
+@dataclass
+class Axes:
+    basis: np.ndarray  # the principal axes as columns, leading first
+    order: np.ndarray  # their numbers, by falling variance
+    mean: np.ndarray  # of each coordinate
+    spread: np.ndarray
+
+    def curve(self, r: np.ndarray) -> np.ndarray:
+        """The place of each row of coordinates on the curve through the first AXES axes."""
+        place = np.zeros(len(r), np.int64)
+        cells = [np.clip(((r[:, k] - self.mean[k]) / (6 * self.spread[k] + 1e-12) + 0.5) * (1 << AXIS_BITS), 0, (1 << AXIS_BITS) - 1).astype(np.int64) for k in self.order[:AXES]]
+        for bit in reversed(range(AXIS_BITS)):
+            for cell in cells:
+                place = (place << 1) | ((cell >> bit) & 1)
+        return place
+
+
+def _axes(classes: DataFrame) -> dict[int, Axes]:
+    """The axes for each vector length."""
 
     def moments(frames):
         for pdf in frames:
@@ -109,19 +149,22 @@ def _axes(classes: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
         n, mean, second = x[0], np.array(x[1 : d + 1]), np.array(x[d + 1 :]).reshape(d, d)
         value, vector = np.linalg.eigh(second / n)
         basis = vector[:, ::-1].copy()
-        axes[d] = basis, int(np.argmax(value[::-1] - (mean / n @ basis) ** 2))
+        centre = mean / n @ basis
+        spread = np.sqrt(np.maximum(0, value[::-1] - centre**2))
+        axes[d] = Axes(basis, np.argsort(-spread, kind="stable"), centre, spread)
     return axes
 
 
 def _tiles(classes: DataFrame, axes: dict, tile: int) -> DataFrame:
+    """tile_id, label, dim, lo and hi (the box), ids, weights, vectors; ids follow each other along the order."""
     shared = classes.sparkSession.sparkContext.broadcast(axes)  # dim * dim numbers
 
     def project(frames):
         for pdf in frames:
-            x = np.zeros(len(pdf))
+            x = np.zeros(len(pdf), np.int64)
             for dim, at in pdf.groupby("dim").indices.items():
-                basis, k = shared.value[dim]
-                x[at] = _unit(_matrix(pdf["embedding"].iloc[at])) @ basis[:, k]
+                known = shared.value[dim]
+                x[at] = known.curve(_unit(_matrix(pdf["embedding"].iloc[at])) @ known.basis)
             yield pdf.assign(x=x)
 
     def cut(frames):
@@ -131,7 +174,9 @@ def _tiles(classes: DataFrame, axes: dict, tile: int) -> DataFrame:
             nonlocal number, held
             pdf = pd.concat(held)
             held, number = [], number + 1
-            return pd.DataFrame({"tile_id": [(part << 32) + number], "label": [key[0]], "dim": [key[1]], "lo": [pdf["x"].min()], "hi": [pdf["x"].max()], "ids": [pdf["class_id"].to_numpy()], "weights": [pdf["weight"].to_numpy()], "vectors": [_matrix(pdf["embedding"]).tobytes()]})
+            vectors, known = _matrix(pdf["embedding"]), shared.value[key[1]]
+            r = _unit(vectors) @ known.basis[:, known.order[:BOX]]
+            return pd.DataFrame({"tile_id": [(part << 32) + number], "label": [key[0]], "dim": [key[1]], "lo": [r.min(axis=0)], "hi": [r.max(axis=0)], "ids": [pdf["class_id"].to_numpy()], "weights": [pdf["weight"].to_numpy()], "vectors": [vectors.tobytes()]})
 
         for pdf in frames:
             for new, group in pdf.groupby(["label", "dim"], sort=False):
@@ -149,8 +194,25 @@ def _tiles(classes: DataFrame, axes: dict, tile: int) -> DataFrame:
 
     named = ", ".join(f"{n} {t}" for n, t in classes.dtypes)
     label = dict(classes.dtypes)["label"]
-    ordered = classes.mapInPandas(project, f"{named}, x double").repartitionByRange("label", "dim", "x", "class_id").sortWithinPartitions("label", "dim", "x", "class_id")
-    return ordered.mapInPandas(cut, f"tile_id long, label {label}, dim int, lo double, hi double, ids array<long>, weights array<long>, vectors binary")
+    ordered = classes.mapInPandas(project, f"{named}, x long").repartitionByRange("label", "dim", "x", "class_id").sortWithinPartitions("label", "dim", "x", "class_id")
+    return ordered.mapInPandas(cut, f"tile_id long, label {label}, dim int, lo array<double>, hi array<double>, ids array<long>, weights array<long>, vectors binary")
+
+
+def _block_pairs(tiles: DataFrame, reach: float) -> DataFrame:
+    """pair_id, block, second: the blocks of each pair whose boxes come within reach, and which of the two it is."""
+    sides = [f(F.get(c, F.lit(k))).alias(f"{c}{k}") for c, f in (("lo", F.min), ("hi", F.max)) for k in range(BOX)]
+    blocks = checkpointed(tiles.groupBy("label", "dim", "block").agg(*sides))  # no vectors
+    salted = blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int"))
+    other = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    a, b = (df.select(*(F.col(c).alias(c + s) for c in df.columns)) for df, s in ((salted, "_a"), (other, "_b")))
+    met = a.join(b, (a.label_a == b.label_b) & (a.dim_a == b.dim_b) & (a.salt_a == b.salt_b) & (a.block_a <= b.block_b))
+    gap = F.lit(0.0)
+    for k in range(BOX):  # shorter vectors have fewer axes
+        apart = F.greatest(F.col(f"lo{k}_b") - F.col(f"hi{k}_a"), F.col(f"lo{k}_a") - F.col(f"hi{k}_b"), F.lit(0.0))
+        gap = gap + F.coalesce(apart * apart, F.lit(0.0))
+    near = checkpointed(met.where(gap <= reach * reach).select("block_a", "block_b").withColumn("pair_id", F.monotonically_increasing_id()))
+    both = F.array(F.struct(F.col("block_a").alias("block"), F.lit(False).alias("second")), F.struct(F.col("block_b").alias("block"), F.lit(True).alias("second")))
+    return near.select("pair_id", F.inline(F.when(F.col("block_a") == F.col("block_b"), F.slice(both, 1, 1)).otherwise(both)))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -170,26 +232,46 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = TIL
     tiles = checkpointed(_tiles(classes.select("class_id", "label", "dim", "weight", "embedding"), axes, tile))
 
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK)
-    meta = lambda s: tiles.select(*(F.col(c).alias(c + s) for c in ("tile_id", "label", "dim", "lo", "hi")))
-    a, b = meta("_a"), meta("_b")
-    near = a.join(b, (a.label_a == b.label_b) & (a.dim_a == b.dim_b) & (a.tile_id_a <= b.tile_id_b) & (b.lo_b <= a.hi_a + reach) & (a.lo_a <= b.hi_b + reach))
-    pairs = checkpointed(near.select("tile_id_a", "tile_id_b").withColumn("pair_id", F.monotonically_increasing_id()))
-    sides = pairs.select("pair_id", F.explode(F.array_distinct(F.array("tile_id_a", "tile_id_b"))).alias("tile_id"))
-
-    shared = vectors.sparkSession.sparkContext.broadcast({d: basis for d, (basis, _) in axes.items()})
+    count, longest = tiles.count(), max(axes, default=1)
+    size = max(1, min(BLOCK, count // 16, BLOCK_BYTES // (tile * longest * 8)))  # small tables keep enough pairs for all cores
+    # Tiles of one block follow each other in one partition; labels and lengths are told apart by the tile's own number.
+    first = F.min("tile_id").over(Window.partitionBy("label", "dim", F.shiftright("tile_id", 32), F.expr(f"(tile_id & 4294967295) div {size}")))
+    blocked = checkpointed(tiles.select("tile_id", "label", "dim", "lo", "hi").withColumn("block", first))
+    pairs = _block_pairs(blocked, reach)
+    members = blocked.select("tile_id", "block").join(tiles.select("tile_id", "dim", "lo", "hi", "ids", "weights", "vectors"), "tile_id")
+    shared = vectors.sparkSession.sparkContext.broadcast({d: x.basis for d, x in axes.items()})
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = [(np.asarray(r.ids), np.asarray(r.weights), np.frombuffer(r.vectors, np.float64).reshape(-1, r.dim)) for r in pdf.itertuples()]
-        (ids_a, weight_a, va), (ids_b, weight_b, vb) = side[0], side[-1]
-        i, j = linked_pairs(va, vb, shared.value[int(pdf["dim"].iloc[0])], threshold, len(side) == 1)
-        add_a = np.bincount(i, weight_b[j], len(ids_a)).astype(np.int64)
-        add_b = np.bincount(j, weight_a[i], len(ids_b)).astype(np.int64)
-        root, node = _stars(ids_a[i], ids_b[j]) if len(i) else (ids_a[:0], ids_a[:0])
-        ids, adds = np.concatenate([ids_a, ids_b]), np.concatenate([add_a, add_b])
-        some = adds > 0
-        return pd.DataFrame({"link": np.repeat([False, True], [some.sum(), len(node)]), "x": np.concatenate([ids[some], root]), "y": np.concatenate([adds[some], node])})
-
-    found = checkpointed(sides.join(tiles.select("tile_id", "dim", "ids", "weights", "vectors"), "tile_id").groupBy("pair_id").applyInPandas(compare, "link boolean, x long, y long"))
+        ready: list[tuple] = []
+        for r in pdf.sort_values(["second", "tile_id"]).itertuples():
+            basis = shared.value[int(r.dim)]
+            ready.append((r, np.asarray(r.ids), np.asarray(r.weights), _prepared(np.frombuffer(r.vectors, np.float64).reshape(-1, r.dim), basis)))
+        one = [x for x in ready if not x[0].second]
+        two = [x for x in ready if x[0].second] or one
+        ids, adds, roots, nodes = [], [], [], []
+        for ra, ids_a, weight_a, a in one:
+            for rb, ids_b, weight_b, b in two:
+                if two is one and rb.tile_id < ra.tile_id:
+                    continue
+                gap = np.maximum(0, np.maximum(np.asarray(rb.lo) - np.asarray(ra.hi), np.asarray(ra.lo) - np.asarray(rb.hi)))
+                if gap @ gap > reach * reach:
+                    continue
+                i, j = _linked(a, b, threshold, ra.tile_id == rb.tile_id)
+                if len(i):
+                    ids += [ids_a, ids_b]
+                    adds += [np.bincount(i, weight_b[j], len(ids_a)), np.bincount(j, weight_a[i], len(ids_b))]
+                    root, node = _stars(ids_a[i], ids_b[j])
+                    roots.append(root)
+                    nodes.append(node)
+        if not ids:
+            return pd.DataFrame({"link": np.zeros(0, bool), "x": np.zeros(0, np.int64), "y": np.zeros(0, np.int64)})
+        known, at = np.unique(np.concatenate(ids), return_inverse=True)
+        total = np.bincount(at, np.concatenate(adds)).astype(np.int64)
+        root, node = _stars(np.concatenate(roots), np.concatenate(nodes))
+        some = total > 0
+        return pd.DataFrame({"link": np.repeat([False, True], [some.sum(), len(node)]), "x": np.concatenate([known[some], root]), "y": np.concatenate([total[some], node])})
+
+    found = checkpointed(pairs.join(members, "block").groupBy("pair_id").applyInPandas(compare, "link boolean, x long, y long"))
 
     added = found.where("not link").groupBy(F.col("x").alias("class_id")).agg(F.sum("y").alias("added"))
     roots = connected_components(found.where("link"), "x", "y").withColumnRenamed("node", "class_id")

@@ -45,8 +45,9 @@ def clustered(rng, n, dim=16):
     return rows
 
 
-@pytest.mark.parametrize("tile", [16, 1024])
-def test_against_brute_force(spark, tile):
+@pytest.mark.parametrize("tile, block", [(4, 3), (16, 16), (1024, 16)])
+def test_against_brute_force(spark, tile, block, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK", block)
     rows = clustered(np.random.default_rng(1), 250)
     rows += [(1000 + i, rows[0][1], rows[0][2]) for i in range(60)]
     want = plain(rows)
@@ -76,3 +77,17 @@ def test_bounds_never_lose_a_pair():
     for threshold in (0.2, 0.6, 0.93):
         i, j = E.linked_pairs(a, a, basis, threshold, True)
         assert set(zip(i.tolist(), j.tolist())) == {(x, y) for x in range(68) for y in range(x + 1, 68) if u[x] @ u[y] >= threshold}
+
+
+def test_distant_boxes_are_not_compared(spark, monkeypatch):
+    """Tiles of two far clusters of one label never meet: their block pairs are fewer than all."""
+    rng = np.random.default_rng(5)
+    ends = np.eye(8)[:4] * 3
+    rows = [(k, [float(x) for x in ends[k % 4] + rng.normal(size=8) * 0.02], 1) for k in range(240)]
+    pairs = []
+    made = E._block_pairs
+    monkeypatch.setattr(E, "_block_pairs", lambda *a: pairs.append(made(*a)) or pairs[-1])
+    got = run(spark, rows, 8)
+    want = plain(rows)
+    assert {k: v[:2] for k, v in got.items()} == want
+    assert pairs[0].where("not second").count() < 30 * 31 / 2 / 2
