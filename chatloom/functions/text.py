@@ -20,6 +20,7 @@ UNIT, RECORD = "\x1f", "\x1e"
 LONG_TOKEN = r"\b[A-Za-z0-9+/=_-]{40,}\b"
 # Size units.
 _UNITS = ("B", "KB", "MB", "GB", "TB")
+# What an owner/name id looks like.
 ID_PATTERN = r"^[A-Za-z0-9][A-Za-z0-9._-]*/[A-Za-z0-9._-]+$"
 
 
@@ -133,6 +134,11 @@ def path_stem(path: Column) -> Column:
     return F.regexp_replace(path_name(path), r"^(.+)\.[^.]+$", "$1")
 
 
+def is_id(text: Column) -> Column:
+    """Whether a text is an owner/name id."""
+    return F.coalesce(F.rlike(text, F.lit(ID_PATTERN)), F.lit(False))
+
+
 def dataset_id(directory: Column) -> Column:
     """owner__name to owner/name, at the first double underscore only."""
     return F.regexp_replace(directory, r"^(.*?)__", "$1/")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .text import normalize
@@ -10,6 +10,11 @@ from .text import normalize
 LENIENT_JSON = "spark.sql.variant.allowDuplicateKeys"
 
 
+def lenient(spark: SparkSession) -> None:
+    """Lets later plans of the session take the last of repeated JSON keys; without it such a record is malformed."""
+    spark.conf.set(LENIENT_JSON, "true")
+
+
 def parse(raw: Column) -> Column:
     """A VARIANT, or null if the text is not JSON. Duplicate keys: the last wins under LENIENT_JSON."""
     return F.try_parse_json(raw)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import path_suffix
+from ..session import checkpointed
 from ..sources import readers
 from ..sources.sinks import markdown_table
 
@@ -39,18 +40,19 @@ COUNTERS = {
 }
 
 
-def record_counts(spark: SparkSession, catalog: DataFrame, max_files: int = 10_000) -> DataFrame:
+def record_counts(spark: SparkSession, catalog: DataFrame, files: int = 10_000) -> DataFrame:
     """file_path and count for every file that a counter knows; other files have no row, so a dataset
-    with nothing countable sums to null. Paths are listed on the driver, as Spark's readers take them."""
-    paths = [r["path"] for r in catalog.select("path").limit(max_files + 1).collect()]
-    if len(paths) > max_files:
-        raise ValueError(f"more than {max_files} files: count them by dataset")
+    with nothing countable sums to null. Spark's readers take paths from the driver: they come in parts
+    of at most `files` paths, each counted and written before the next is listed."""
+    listed = checkpointed(catalog.select("path").distinct().withColumn("_part", F.pmod(F.xxhash64("path"), F.lit(max(1, -(-2 * catalog.count() // files))))))
     out = None
-    for suffix, count in COUNTERS.items():
-        own = [p for p in paths if p.lower().removesuffix(".gz").endswith(suffix)]
-        if own:
-            one = count(spark, own).withColumnRenamed("count", "records")
-            out = one if out is None else out.unionByName(one)
+    for part in sorted(r["_part"] for r in listed.select("_part").distinct().collect()):
+        paths = sorted(r["path"] for r in listed.where(F.col("_part") == part).collect())
+        for suffix, count in COUNTERS.items():
+            own = [p for p in paths if p.lower().removesuffix(".gz").endswith(suffix)]
+            if own:
+                one = checkpointed(count(spark, own).withColumnRenamed("count", "records"))
+                out = one if out is None else out.unionByName(one)
     return spark.createDataFrame([], "file_path string, records long") if out is None else out
 
 
@@ -92,9 +94,19 @@ def with_cached(plan: DataFrame, cache: DataFrame, key: str, columns: list[str],
 
 
 def only_text(df: DataFrame, messages: str = "messages") -> bool:
-    """Whether the first record's contents are texts, by its schema."""
+    """Whether the contents of the first record that has messages are texts."""
     kind = df.schema[messages].dataType.simpleString()
-    return kind.startswith("array<struct<") and "content:string" in kind
+    if not kind.startswith("array<struct<"):
+        return False
+    first = df.where(F.size(messages) > 0).select(F.forall(messages, lambda m: F.typeof(m["content"]).isin("string") & m["content"].isNotNull()).alias("ok")).first()
+    return first is None or bool(first["ok"])
+
+
+def logged(line: str, path: str) -> None:
+    """Appends a line with a UTC time stamp; a single write, so that lines of several processes don't mix."""
+    stamp = datetime.now(timezone.utc).isoformat(timespec="seconds")
+    with open(path, "a", encoding="utf-8") as f:
+        f.write(f"{stamp} {' '.join(line.splitlines())}\n")
 
 
 def report(title: str, tables: dict[str, DataFrame]) -> str:

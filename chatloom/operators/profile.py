@@ -100,7 +100,3 @@ def longest_and_shortest(df: DataFrame, length: str, name: str, n: int = 20) ->
     long = some.orderBy(F.col("length").desc(), F.col("name").desc()).limit(n).withColumn("side", F.lit("longest"))
     short = some.orderBy(F.col("length"), F.col("name")).limit(n).withColumn("side", F.lit("shortest"))
     return long.unionByName(short)
-
-
-def record_digest(messages: Column, seed: int = 42) -> Column:
-    return dedup_key(messages, seed)

@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import canonical_text, message
+from ..functions.text import message
+from ..functions.variant import lenient
 from ..operators.adapters import adapted
 from ..operators.validate import annotate
 from ..operators.windows import ordinals
@@ -17,7 +18,9 @@ from ..operators.windows import ordinals
 
 def formatted(raw: DataFrame, order: list[str], scope: list[str] | None = None, exclusions: DataFrame | None = None, max_records: int | None = None, **limits) -> DataFrame:
     """raw: lines `raw` with lineage columns. Excluded datasets (dataset, reason) are left out.
-    max_records: the first accepted records of each dataset."""
+    max_records: the first accepted records of each dataset. Of repeated JSON keys the last counts,
+    for which a setting of the session is made."""
+    lenient(raw.sparkSession)
     rows = raw if exclusions is None else raw.join(exclusions.select("dataset"), "dataset", "left_anti")
     messages, reject = adapted(F.col("raw"))
     out = annotate(rows.withColumn("messages", messages).withColumn("_early", reject), order, scope, early="_early", **limits)
@@ -54,7 +57,3 @@ def canonical_json(annotated: DataFrame) -> DataFrame:
         return messages.map(lambda turns: json.dumps({"messages": [{"role": t["role"], "content": t["content"]} for t in turns]}, ensure_ascii=False))
 
     return annotated.withColumn("line", dump("messages"))
-
-
-def record_text(annotated: DataFrame) -> DataFrame:
-    return annotated.withColumn("canonical", canonical_text(F.col("messages")))

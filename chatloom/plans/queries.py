@@ -119,16 +119,23 @@ def conv_special_token_check(spark, sf_dir):
     return _conv(spark, sf_dir).select("conv_id", template.occurrences(text, template.START).cast("long").alias("n_start"), template.occurrences(text, template.END).cast("long").alias("n_end"), *(c.alias(k) for k, c in checks.items()))
 
 
-@query()
+_TOKENS = """WITH l AS (SELECT conv_id, coalesce(max(turn) FILTER (role = 'user'), -1) AS u FROM conversations GROUP BY conv_id),
+t AS (SELECT conv_id, turn, role, 13 + length(role) + CASE WHEN role = 'assistant' AND turn > u THEN 19 ELSE 0 END AS head, length(text) + 10 AS said FROM conversations JOIN l USING (conv_id)),
+a AS (SELECT *, sum(head + said + 1) OVER (PARTITION BY conv_id ORDER BY turn) - said - 1 AS p FROM t),
+g AS (SELECT conv_id, sum(head + said + 1)::BIGINT AS full_length, coalesce(sum(least(greatest({n} - p, 0), said)) FILTER (role = 'assistant'), 0)::BIGINT AS assistant_tokens FROM a GROUP BY conv_id) """
+
+
+@query(_TOKENS.format(n=2048) + "SELECT 'conversations' AS corpus, count(*) AS rows, round(avg((full_length > 2048)::INT), 6) AS truncated, round(avg((assistant_tokens = 0)::INT), 6) AS all_masked, round(avg(least(1.0::DOUBLE, 2048::DOUBLE / greatest(full_length, 1))), 6) AS kept_share, avg((full_length > 2048)::INT) <= 0.05 AS passes FROM g")
 def conv_tokenize_stats(spark, sf_dir):
     tokens = template.tokenize_chat(_conv(spark, sf_dir), template.whitespace_tokenizer, 2048)
-    return template.truncation_stats(tokens.withColumn("corpus", F.lit("conversations")), ["corpus"], 2048)
+    stats = template.truncation_stats(tokens.withColumn("corpus", F.lit("conversations")), ["corpus"], 2048)
+    return stats.select("corpus", "rows", *(F.round(c, 6).alias(c) for c in ("truncated", "all_masked", "kept_share")), "passes")
 
 
-@query()
+@query(_TOKENS.format(n=512) + "SELECT conv_id, assistant_tokens, full_length FROM g WHERE assistant_tokens > 0")
 def conv_tokens_kept(spark, sf_dir):
     tokens = template.tokenize_chat(_conv(spark, sf_dir), template.whitespace_tokenizer, 512)
-    return template.drop_all_masked(tokens).select("conv_id", "assistant_tokens", "full_length")
+    return template.drop_all_masked(tokens).select("conv_id", *(F.col(c).cast("long").alias(c) for c in ("assistant_tokens", "full_length")))
 
 
 @query("""WITH f AS (SELECT conv_id, arg_min(lower(text), turn) FILTER (role = 'user') AS p FROM conversations GROUP BY conv_id)
@@ -173,6 +180,66 @@ def adapter_session_events(spark, sf_dir):
     return adapters.session_messages(rows).select(F.col("file_path").alias("conv_id"), F.sha2(text, 256).alias("sha256"))
 
 
+@query("""WITH r AS (SELECT conv_id, string_agg(CASE WHEN i = 1 THEN 'user' ELSE 'assistant' END || chr(31) || text, chr(30) ORDER BY turn) AS x
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations WHERE text <> '') GROUP BY conv_id) SELECT conv_id, sha256(x) AS sha256 FROM r""")
+def adapter_topical(spark, sf_dir):
+    """[id, {content: [{message, agent}]}] with agents of unknown names: the first is the user, the rest assistants."""
+    from ..functions.text import canonical_text
+
+    said = F.struct("turn", F.col("text").alias("message"), F.concat(F.lit("agent_"), F.col("turn") % 2).alias("agent"))
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(said)).alias("t"))
+    body = F.to_json(F.struct(F.transform("t", lambda t: F.struct(t["message"].alias("message"), t["agent"].alias("agent"))).alias("content")))
+    messages, _ = adapters.adapted(F.concat(F.lit('["c'), "conv_id", F.lit('", '), body, F.lit("]")))
+    return rows.withColumn("messages", messages).where("messages is not null").select("conv_id", F.sha2(canonical_text(F.col("messages")), 256).alias("sha256"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 7 > 0 THEN 'who is ' || c_name END AS user_text, CASE WHEN c_custkey % 7 > 0 THEN c_mktsegment END AS assistant_text, CASE WHEN c_custkey % 7 = 0 THEN 'unsupported_schema' END AS reject FROM customer""")
+def adapter_question_vars(spark, sf_dir):
+    """{vars: {question, answer}}; without an answer the record has no known shape."""
+    inner = F.struct(F.concat(F.lit("who is "), "c_name").alias("question"), F.when(F.col("c_custkey") % 7 > 0, F.col("c_mktsegment")).alias("answer"))
+    messages, reject = adapters.adapted(F.to_json(F.struct(inner.alias("vars"))))
+    done = table(spark, sf_dir, "customer").select("c_custkey", messages.alias("messages"), reject.alias("reject"))
+    return done.select("c_custkey", F.try_element_at("messages", F.lit(1))["content"].alias("user_text"), F.try_element_at("messages", F.lit(2))["content"].alias("assistant_text"), "reject")
+
+
+@query("""SELECT o_orderkey, CASE k WHEN 0 THEN 'malformed_json' WHEN 3 THEN 'unsupported_schema' WHEN 5 THEN 'malformed_json' END AS reject,
+CASE k WHEN 1 THEN 'ask ' || o_custkey WHEN 2 THEN 'reach ' || o_orderstatus WHEN 4 THEN 'last ' || o_custkey END AS user_text,
+CASE k WHEN 1 THEN 'say ' || o_orderstatus WHEN 2 THEN '1. first' || chr(10) || '3. then ' || o_custkey WHEN 4 THEN 'r' END AS assistant_text FROM (SELECT *, o_orderkey % 6 AS k FROM orders)""")
+def adapter_mixed_shapes(spark, sf_dir):
+    """Records of six shapes in one column: cut JSON, pairs, goal and steps, unknown keys, repeated keys (the last counts), and marked ones."""
+    from ..functions.variant import lenient
+
+    lenient(spark)
+    k, who, state = F.col("o_orderkey") % 6, F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    shapes = [
+        F.lit('{"prompt": "cut'),
+        F.concat(F.lit('{"prompt": "ask '), who, F.lit('", "response": "say '), state, F.lit('"}')),
+        F.concat(F.lit('{"goal": "reach '), state, F.lit('", "step_instructions": ["first", " ", "then '), who, F.lit('"]}')),
+        F.lit('{"left": 1, "right": [2]}'),
+        F.concat(F.lit('{"question": "first", "question": "last '), who, F.lit('", "answer": "r"}')),
+        F.lit('{"__malformed__": true, "prompt": "p", "response": "r"}'),
+    ]
+    raw = F.get(F.array(*shapes), k.cast("int"))
+    messages, reject = adapters.adapted(raw)
+    done = table(spark, sf_dir, "orders").select("o_orderkey", messages.alias("messages"), reject.alias("reject"))
+    return done.select("o_orderkey", "reject", F.try_element_at("messages", F.lit(1))["content"].alias("user_text"), F.try_element_at("messages", F.lit(2))["content"].alias("assistant_text"))
+
+
+@query("""SELECT doc_id, source || CASE WHEN doc_id % 2 = 0 THEN chr(10) || lang ELSE '' END AS user_text, sha256(text) AS assistant_sha256 FROM documents""")
+def adapter_instruction_record(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("prompt"), F.lit("").alias("instruction"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("input"), F.col("text").alias("output"))
+    done = rows.select("doc_id", adapters.instruction_record(rows).alias("messages")).select("doc_id", *_texts())
+    return done.select("doc_id", "user_text", F.sha2("assistant_text", 256).alias("assistant_sha256"))
+
+
+@query(r"""SELECT c_name || '/' || c_mktsegment AS id, regexp_matches(c_name || '/' || c_mktsegment, '^[A-Za-z0-9][A-Za-z0-9._-]*/[A-Za-z0-9._-]+$') AS valid, false AS bare_valid, regexp_matches('_' || c_name || '/x y', '^[A-Za-z0-9][A-Za-z0-9._-]*/[A-Za-z0-9._-]+$') AS odd_valid FROM customer""")
+def id_shapes(spark, sf_dir):
+    from ..functions.text import is_id
+
+    made = F.concat("c_name", F.lit("/"), "c_mktsegment")
+    return table(spark, sf_dir, "customer").select(made.alias("id"), is_id(made).alias("valid"), is_id(F.col("c_name")).alias("bare_valid"), is_id(F.concat(F.lit("_"), "c_name", F.lit("/x y"))).alias("odd_valid"))
+
+
 # -- documents ---------------------------------------------------------------------------------
 
 _DOC = """WITH d AS (SELECT doc_id, lang, source, text, 'user' || chr(31) || 'Write a text from ' || source || '.' || chr(30) || 'assistant' || chr(31) || text AS canon, length('Write a text from ' || source || '.') + length(text) AS total FROM documents),
@@ -448,6 +515,56 @@ def recipe_code_review(spark, sf_dir):
     return recipes.code_reviews(rows, keep=["o_orderkey"]).select("o_orderkey", *_texts())
 
 
+@query(r"""SELECT p_partkey, 'Analyze this Linux kernel commit for vulnerability relevance and explain the change.' || chr(10) || chr(10) || 'Subject: ' || p_name || CASE WHEN p_size % 2 = 0 THEN chr(10) || chr(10) || 'Body:' || chr(10) || p_type ELSE '' END AS user_text,
+p_name || chr(10) || chr(10) || 'Commit h' || p_partkey || ' by ' || CASE WHEN p_size > 25 THEN p_brand ELSE 'unknown' END || ' (' || p_size || ' file(s), +?/-?).' || chr(10) || chr(10) || 'diff ' || p_brand AS assistant_text FROM part WHERE p_partkey % 3 > 0
+UNION ALL SELECT p_partkey, 'Explain this kernel vulnerability record.', '{"note":"' || p_name || '"}' FROM part WHERE p_partkey % 3 = 0""")
+def recipe_commits(spark, sf_dir):
+    """Commits with a diff, and records of other keys as their JSON."""
+    k = F.col("p_partkey")
+    commit = F.struct(F.col("p_name").alias("subject"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).alias("body"), F.concat(F.lit("diff "), "p_brand").alias("diff_raw"), F.concat(F.lit("h"), k).alias("hash"), F.when(F.col("p_size") > 25, F.col("p_brand")).alias("author_name"), F.col("p_size").alias("files_changed"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 3 > 0, F.to_json(commit)).otherwise(F.to_json(F.struct(F.col("p_name").alias("note")))).alias("raw"))
+    return recipes.commits(rows, keep=["p_partkey"]).select("p_partkey", *_texts())
+
+
+@query(r"""SELECT p_partkey, CASE k WHEN 0 THEN 'How do you fix this kernel crash?' || chr(10) || chr(10) || p_name || chr(10) || '(subsystem: ' || CASE WHEN p_size > 25 THEN p_brand ELSE 'unknown subsystem' END || ')' || chr(10) || chr(10) || 'oops ' || p_type
+  WHEN 1 THEN 'How do you fix this kernel crash?' || chr(10) || chr(10) || p_name WHEN 2 THEN 'q' || p_partkey ELSE 'How do you fix this kernel crash?' END AS user_text,
+CASE k WHEN 0 THEN 'note ' || p_type || chr(10) || chr(10) || 'diff ' || p_size || chr(10) || chr(10) || '(patch went through ' || p_size || ' revisions.)' WHEN 1 THEN 'patch ' || p_brand WHEN 2 THEN 'a' || p_size ELSE '{"other":"' || p_name || '"}' END AS assistant_text FROM (SELECT *, p_partkey % 4 AS k FROM part)""")
+def recipe_crashes(spark, sf_dir):
+    """Crash reports with their patches, crash and fix pairs, message lists, and other records."""
+    k = F.col("p_partkey") % 4
+    report = F.struct(F.col("p_name").alias("title"), F.when(F.col("p_size") > 25, F.col("p_brand")).alias("subsystem"), F.concat(F.lit("oops "), "p_type").alias("crash_report"), F.concat(F.lit("note "), "p_type").alias("fix_commit_message"), F.concat(F.lit("diff "), "p_size").alias("final_patch_diff"), F.col("p_size").alias("num_patch_versions"))
+    pair = F.struct(F.col("p_name").alias("bug"), F.concat(F.lit("patch "), "p_brand").alias("fix"))
+    turn = lambda who, c: F.struct(F.lit(who).alias("role"), c.alias("content"))
+    chat = F.struct(F.array(turn("human", F.concat(F.lit("q"), "p_partkey")), turn("gpt", F.concat(F.lit("a"), "p_size"))).alias("messages"))
+    raw = F.when(k == 0, F.to_json(report)).when(k == 1, F.to_json(pair)).when(k == 2, F.to_json(chat)).otherwise(F.to_json(F.struct(F.col("p_name").alias("other"))))
+    return recipes.crashes(table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw")), keep=["p_partkey"]).select("p_partkey", *_texts())
+
+
+@query("""WITH r AS (SELECT conv_id, string_agg(role || chr(31) || text, chr(30) ORDER BY turn) AS x FROM conversations WHERE role IN ('system', 'user', 'assistant') AND text <> '' GROUP BY conv_id) SELECT conv_id, sha256(x) AS sha256 FROM r""")
+def recipe_agent_sessions(spark, sf_dir):
+    """Messages as JSON text inside the record, in every second one as a list; turns of another role are skipped."""
+    from ..functions.text import canonical_text
+
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.upper("role").alias("role"), F.col("text").alias("content")))).alias("t"))
+    turns = F.concat(F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))), F.array(F.struct(F.lit("narrator").alias("role"), F.lit("n").alias("content"))))
+    raw = F.when(F.col("conv_id") % 2 == 0, F.to_json(F.struct(turns.alias("messages")))).otherwise(F.to_json(F.struct(F.to_json(turns).alias("messages"))))
+    done = recipes.agent_sessions(rows.select("conv_id", raw.alias("raw")), keep=["conv_id"])
+    return done.select("conv_id", F.sha2(canonical_text(F.col("messages")), 256).alias("sha256"))
+
+
+@query(r"""SELECT 'Review this ' || p_brand || ' code for security vulnerabilities and fix it.' || chr(10) || chr(10) || p_name AS user_text, CASE WHEN p_size % 2 = 0 THEN 'CWE-' || p_size ELSE 'unknown CWE' END || CASE WHEN p_size > 25 THEN ' (A0' || (p_size % 9) || ')' ELSE '' END || chr(10) || chr(10) || 'Fixed code:' || chr(10) || p_type AS assistant_text FROM part
+UNION ALL SELECT 'Which vulnerability class does this code exhibit?' || chr(10) || chr(10) || s_name, 's' || s_nationkey FROM supplier
+UNION ALL SELECT 'q' || n_nationkey, n_name FROM nation""")
+def recipe_security_union(spark, sf_dir):
+    """Fix pairs, labelled code and chats in one corpus."""
+    size = F.col("p_size")
+    fixes = table(spark, sf_dir, "part").select(F.col("p_name").alias("code"), F.col("p_type").alias("code_fixed"), F.col("p_brand").alias("language"), F.when(size % 2 == 0, F.concat(F.lit("CWE-"), size)).alias("cwe_id"), F.when(size > 25, F.concat(F.lit("A0"), size % 9)).alias("owasp"))
+    labels = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("code"), F.concat(F.lit("s"), "s_nationkey").alias("label"))
+    turn = lambda who, c: F.struct(F.lit(who).alias("role"), c.alias("content"))
+    chats = table(spark, sf_dir, "nation").select(F.to_json(F.struct(F.array(turn("user", F.concat(F.lit("q"), "n_nationkey")), turn("assistant", F.col("n_name"))).alias("messages"))).alias("raw"))
+    return recipes.security_union(fixes, labels, chats, "s").select(*_texts())
+
+
 @query("""SELECT c_custkey, 'question of ' || c_name AS user_text, CASE WHEN c_custkey % 4 > 0 THEN 'answer ' || c_mktsegment ELSE 'x' END AS assistant_text FROM customer""")
 def recipe_fuzzy_questions(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("question of "), "c_name").alias("My Question"), F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("answer "), "c_mktsegment")).alias("Final Answer"), F.lit("x").alias("Other answer"))

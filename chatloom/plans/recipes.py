@@ -41,6 +41,7 @@ def replies(df: DataFrame, id_col: str, parent_col: str, body_col: str, order: l
 
 # -- one row, two questions ------------------------------------------------------------------
 
+# Questions and answers; vulnerabilities() has the defaults of their parts.
 VULN_WHY = "Why is commit {intro} in {subsystem} ({path}) considered vulnerable?"
 VULN_BECAUSE = "Commit {intro} introduced a {bug} in {path} ({subsystem}). Severity hint: {severity}. CVE: {cve}. The defect survived {days} days before being fixed"
 VULN_HOW = "How was the {bug} in {path} fixed?"
@@ -62,6 +63,7 @@ def vulnerabilities(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 # -- dispatch by the keys of a JSON record ------------------------------------------------------
 
+# Questions and answers, and below the caps of their parts.
 COMMIT_ASK = "Analyze this Linux kernel commit for vulnerability relevance and explain the change.\n\nSubject: {subject}"
 COMMIT_SAY = "{subject}\n\nCommit {hash} by {author} ({files} file(s), +{ins}/-{dels})."
 CRASH_ASK = "How do you fix this kernel crash?"

@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 
 
+def _located(path: str):
+    """The file system of a path or URI (local, hdfs, s3, gs, abfs as pyarrow knows them), and the path in it."""
+    from pyarrow import fs
+
+    uri = re.sub("^file:/+", "file:///", path)
+    return fs.FileSystem.from_uri(uri if "://" in uri else os.path.abspath(uri))
+
+
 def _open(path: str):
     import pyarrow as pa
 
-    source = pa.memory_map(path)
+    system, inner = _located(path)
+    source = system.open_input_file(inner)
     try:
         return pa.ipc.open_file(source)
     except pa.ArrowInvalid:
@@ -21,7 +31,19 @@ def _open(path: str):
 
 
 def _paths(root: str) -> list[str]:
-    return sorted(glob.glob(os.path.join(root, "**", "*.arrow"), recursive=True)) if os.path.isdir(root) else sorted(glob.glob(root))
+    """The file itself, or the .arrow files below a directory, as full paths in the form of root; local patterns work too."""
+    from pyarrow import fs
+
+    if any(c in root for c in "*?[") and "://" not in root:
+        return sorted(glob.glob(root))
+    system, inner = _located(root)
+    info = system.get_file_info(inner)
+    if info.type == fs.FileType.File:
+        return [root]
+    before = root[: root.index("://") + 3] if "://" in root else ""
+    if before and not root[len(before) :].startswith(inner):  # hdfs: the host is not part of the inner path
+        before = root[: root.index(inner, len(before))]
+    return sorted(before + x.path for x in system.get_file_info(fs.FileSelector(inner, recursive=True, allow_not_found=True)) if x.path.endswith(".arrow"))
 
 
 class ArrowFile(InputPartition):

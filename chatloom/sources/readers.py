@@ -58,20 +58,28 @@ def jsonl(spark: SparkSession, path: str | list[str], limit: int | None = None)
 
 
 def whole_json(spark: SparkSession, path: str | list[str], max_bytes: int = MAX_INLINE_JSON_BYTES) -> DataFrame:
-    """Whole-file JSON: one row per element of a list, one for an object; a bad file is one malformed row."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("_size"))
-    parsed = files.where(F.col("_size") <= max_bytes).withColumn("_v", F.try_parse_json("value"))
+    """Whole-file JSON: one row per element of a list, one for an object; a bad file is one malformed row,
+    and so is a file of more than max_bytes, with a marker in place of its text."""
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("_size"))
+    small = F.col("_size") <= max_bytes
+    parsed = files.withColumn("value", F.when(small, F.col("value")).otherwise(F.concat(F.lit('{"__malformed__": "a file of '), F.col("_size"), F.lit(' bytes"}')))).withColumn("_v", F.try_parse_json("value"))
     listed = F.try_variant_get("_v", "$", "array<variant>")
     items = F.when(F.col("_v").isNull(), F.array(F.col("value"))).otherwise(F.coalesce(F.transform(listed, lambda x: F.to_json(x)), F.array(F.to_json("_v"))))
     return parsed.select("file_path", F.posexplode(items).alias("line_no", "raw"))
 
 
 def array_or_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """A file whose first character is '[' is one array, any other JSON lines."""
-    files = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    is_list = F.startswith(F.ltrim("value"), F.lit("["))
-    items = F.when(is_list, F.transform(F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>"), lambda x: F.to_json(x))).otherwise(F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != ""))
-    rows = files.select("file_path", F.posexplode(items).alias("line_no", "raw"))
+    """A file whose first character is '[' is one array, any other JSON lines. Only the first lines are
+    looked at to tell; JSON lines are then read in blocks, and arrays alone as whole files."""
+    first = jsonl(spark, path).groupBy("file_path").agg(F.min_by(F.startswith(F.ltrim("raw"), F.lit("[")), "line_no").alias("is_list"))
+    found = {True: [], False: []}
+    for r in first.collect():  # one row a file
+        found[r["is_list"]].append(r["file_path"])
+    rows = spark.createDataFrame([], "file_path string, line_no long, raw string")
+    if found[False]:
+        rows = rows.unionByName(jsonl(spark, found[False]))
+    if found[True]:
+        rows = rows.unionByName(whole_json(spark, found[True]).withColumn("line_no", F.col("line_no").cast("long")))
     return rows if limit is None else rows.where(F.col("line_no") < limit)
 
 
@@ -131,7 +139,7 @@ def run_log(lines: DataFrame) -> DataFrame:
 
 def file_bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file_path and whole text of files, to be joined to a catalog."""
-    return spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body"))
+    return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body"))
 
 
 def with_hash(files: DataFrame, content: str = "content") -> DataFrame:

@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import human_bytes
 from ..operators.validate import license_family, size_bucket
+from ..plans.corpus import canonical_json
 
 
-def corpus_jsonl(annotated: DataFrame, path: str, by: tuple[str, ...] = ("category", "split"), mode: str = "overwrite") -> None:
-    """Accepted records as one canonical JSON object a line, in directories by category and split."""
-    kept = annotated.where(F.col("reject").isNull())
-    kept.select(F.to_json(F.struct("messages")).alias("value"), *by).write.mode(mode).partitionBy(*by).text(path)
+def corpus_jsonl(annotated: DataFrame, path: str, by: tuple[str, ...] = ("category", "split"), mode: str = "overwrite", order: tuple[str, ...] = ()) -> None:
+    """Accepted records as one canonical JSON object a line, in directories by category and split. With an
+    order the files of a directory, read in the order of their names, hold the same bytes in every run."""
+    kept = canonical_json(annotated.where(F.col("reject").isNull())).withColumnRenamed("line", "value")
+    if order:
+        kept = kept.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    kept.select("value", *by).write.mode(mode).partitionBy(*by).text(path)
 
 
 def json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:

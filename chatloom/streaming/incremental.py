@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.variant import lenient
 from ..operators.adapters import adapted
 from ..operators.dedup import new_only
 from ..operators.validate import annotate
@@ -27,6 +28,7 @@ def _read_keys(spark: SparkSession, keys: str, before: int) -> DataFrame:
 
 def format_stream(spark: SparkSession, source: str, out: str, checkpoint: str, available_now: bool = True, **limits):
     """Starts the stream: JSON lines below source to accepted records below out/records. Returns the query."""
+    lenient(spark)
     lines = spark.readStream.text(source, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"))
     keys = f"{out}/keys"
 

@@ -2,12 +2,13 @@
 
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
-from chatloom.operators import adapters, dedup, joins, mix, template, validate, windows
+from chatloom.operators import adapters, dedup, inventory, joins, mix, template, validate, windows
 from chatloom.plans import corpus, recipes
 from chatloom.sources import config, readers, sinks
 from chatloom.sources.arrow_ipc import ArrowIpc
@@ -253,6 +254,8 @@ def test_arrow_source(spark, tmp_path):
     spark.dataSource.register(ArrowIpc)
     df = spark.read.format("arrow_ipc").load(str(tmp_path))
     assert df.count() == 6 and df.where("b is null").count() == 2
+    assert spark.read.format("arrow_ipc").load(f"file://{tmp_path}").count() == spark.read.format("arrow_ipc").load(f"file:{tmp_path}").count() == 6
+    assert spark.read.format("arrow_ipc").load(str(tmp_path / "s.arrow")).count() == 3 == spark.read.format("arrow_ipc").load(str(tmp_path / "s*.arrow")).count()
 
 
 def test_sinks(spark, tmp_path):
@@ -332,3 +335,86 @@ def test_hub_source(spark):
     assert rows.count() == 6 and rows.where(F.size(gate) == 0).count() == 4
     with pytest.raises(Exception, match="name a client"):
         spark.read.format("hub_metadata").load().count()
+
+
+def raw_rows(spark, n=60, partitions=5):
+    rows = [(json.dumps({"prompt": f"question {i % 40} of the corpus", "response": "an answer that is long enough é\x0b"}), f"f{i % 3}", i, "cat", "big" if i % 4 else "small") for i in range(n)]
+    return spark.createDataFrame([*rows, ('{"prompt": "first", "prompt": "the last of two prompts", "response": "an answer of some length"}', "g", 0, "cat", "big"), ("{cut", "g", 1, "cat", "big")], "raw string, file_path string, line_no long, category string, dataset string").repartition(partitions)
+
+
+def test_repeated_keys_take_the_last(spark):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    done = corpus.formatted(raw_rows(spark), ["file_path", "line_no"]).where("file_path = 'g'")
+    assert {r.line_no: (r.reject, r.messages[0].content if r.messages else None) for r in done.collect()} == {0: (None, "the last of two prompts"), 1: ("malformed_json", None)}
+
+
+def test_sink_writes_the_same_bytes_in_every_run(spark, tmp_path):
+    written = []
+    for k in (1, 3, 11):
+        spark.conf.set("spark.sql.shuffle.partitions", str(k))
+        done = corpus.formatted(raw_rows(spark, partitions=k), ["file_path", "line_no"], val_fraction=0.3)
+        sinks.corpus_jsonl(done, str(tmp_path / str(k)), order=("file_path", "line_no"))
+        written.append({split: b"".join(f.read_bytes() for f in sorted((tmp_path / str(k) / "category=cat" / f"split={split}").glob("part-*"))) for split in ("train", "val")})
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert written[0] == written[1] == written[2] and all(written[0].values())
+    assert all(line == json.dumps(json.loads(line), ensure_ascii=False) for line in written[0]["train"].decode().split("\n") if line)
+
+
+def test_max_records_of_each_dataset(spark):
+    full = corpus.formatted(raw_rows(spark), ["file_path", "line_no"])
+    some = corpus.formatted(raw_rows(spark), ["file_path", "line_no"], max_records=5)
+    key = lambda r: (r.file_path, r.line_no)
+    want = {d: sorted(key(r) for r in full.where((F.col("dataset") == d) & F.col("reject").isNull()).collect())[:5] for d in ("big", "small")}
+    assert {d: sorted(key(r) for r in some.where((F.col("dataset") == d) & F.col("reject").isNull()).collect()) for d in want} == want
+    assert some.where("reject is not null").count() == full.where("reject is not null").count() and some.columns == full.columns
+
+
+def test_strict_keys_of_all_rows(spark):
+    import hashlib
+
+    done = corpus.strict_keys(corpus.formatted(raw_rows(spark), ["file_path", "line_no"]).where("reject is null"))
+    for r in done.collect():
+        payload = {"seed": 42, "messages": [m.asDict() for m in r.messages]}
+        assert r.strict_key == hashlib.blake2b(json.dumps(payload, ensure_ascii=False, sort_keys=True).encode(), digest_size=16).hexdigest()
+
+
+def test_a_single_dataset_keeps_its_order(spark):
+    rows = spark.range(500).select("id", F.lit("only").alias("dataset"))
+    plan = mix.mix_plan(rows.groupBy("dataset").agg(F.count("*").alias("n")))
+    out = mix.positions(mix.mixed(rows.repartition(7), plan, "dataset", ["id"]))
+    assert [r.id for r in out.orderBy("position").collect()] == list(range(500)) and out.agg(F.max("position")).first()[0] == 500
+
+
+def test_readers_without_size_limits(spark, tmp_path):
+    (tmp_path / "a.json").write_text(' [{"x": 1},\n\n {"x":\n 2}]')
+    (tmp_path / "b.json").write_text('{"x": 3}\n\n{"x": 4}\n{bad\n')
+    (tmp_path / "c.json").write_text('{"x": "' + "y" * 2000 + '"}')
+    got = sorted((r.file_path[-6:], r.line_no, r.raw[:8]) for r in readers.array_or_lines(spark, str(tmp_path)).collect())
+    assert got == [("a.json", 0, '{"x":1}'), ("a.json", 1, '{"x":2}'), ("b.json", 0, '{"x": 3}'), ("b.json", 2, '{"x": 4}'), ("b.json", 3, "{bad"), ("c.json", 0, '{"x": "y')]
+    assert readers.array_or_lines(spark, str(tmp_path), limit=1).count() == 3
+    large = readers.whole_json(spark, str(tmp_path / "c.json"), max_bytes=100)
+    _, reject = adapters.adapted(F.col("raw"))
+    assert [r[0] for r in large.select(reject).collect()] == ["malformed_json"]
+    catalog = readers.file_catalog(spark, str(tmp_path))
+    counts = {r.file_path[-6:]: r.records for r in inventory.record_counts(spark, catalog, files=1).collect()}
+    assert counts == {"a.json": 2, "b.json": 1, "c.json": 1}
+    assert {r.body for r in readers.file_bodies(spark, str(tmp_path / "a.json")).collect()} == {(tmp_path / "a.json").read_text()}
+    hashed = readers.with_hash(spark.read.format("binaryFile").load(str(tmp_path / "a.json"))).first()
+    import hashlib
+
+    assert hashed.sha256 == hashlib.sha256((tmp_path / "a.json").read_bytes()).hexdigest()
+
+
+def test_samples_and_logs(spark, tmp_path):
+    rows = spark.createDataFrame([('{"a": 1}',)], "raw string")
+    sinks.sampled_jsonl(rows, str(tmp_path / "s"), rows.agg(F.count("*").alias("records")))
+    assert spark.read.text(str(tmp_path / "s" / "sample")).first().value == '{"a": 1}' and spark.read.json(str(tmp_path / "s" / "sample_info")).first().records == 1
+    inventory.logged("one\nline", str(tmp_path / "log"))
+    inventory.logged("two", str(tmp_path / "log"))
+    assert [x.split(" ", 1)[1] for x in (tmp_path / "log").read_text().splitlines()] == ["one line", "two"]
+    texts = spark.createDataFrame([([("user", "q")],), ([("user", None)],)], "messages array<struct<role:string,content:string>>")
+    assert inventory.only_text(texts.limit(1)) and not inventory.only_text(spark.createDataFrame([([1],)], "messages array<int>"))
+    token = template.pandas_tokenizer(os.path.join("/opt/tokenizers", "word_bpe_49k.json"))
+    tokens = template.tokenize_chat(spark.createDataFrame([([("user", "hello there"), ("assistant", "good day")],)], "messages array<struct<role:string,content:string>>"), token, 64).first()
+    kept = [t for t, k in zip(tokens.input_ids, tokens.labels) if k != template.IGNORED]
+    assert 0 < len(kept) == tokens.assistant_tokens < len(tokens.input_ids) and kept[:2] == token("good day")[:2]
