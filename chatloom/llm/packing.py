@@ -53,10 +53,11 @@ CUT_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type":
 CUT_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
-def _may_be_cut(tokenizer: str) -> bool:
-    known = json.loads(tokenizer)
-    steps = (known.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-    return known.get("normalizer") == CUT_NORMALIZER and (steps[0].get("pattern") or {}).get("Regex") == CUT_PATTERN
+def _may_be_cut(tokenizer) -> bool:
+    """By the state of the two parts alone: the vocabulary would be large."""
+    normalizer, cutter = (part and json.loads(part.__getstate__()) for part in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+    first = ((cutter or {}).get("pretokenizers") or [{}])[0]
+    return normalizer == CUT_NORMALIZER and (first.get("pattern") or {}).get("Regex") == CUT_PATTERN
 
 
 @cache
@@ -81,7 +82,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts = _may_be_cut(self.tokenizer.to_str())
+        self.cuts = _may_be_cut(self.tokenizer)
         self.known: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
