@@ -65,7 +65,8 @@ def _makes_marks() -> str:
     """A class of the characters that are, or that composing and lower-casing turn into, letters with combining marks."""
     mark = lambda t: any(unicodedata.category(x)[0] == "M" for x in t)
     letters = (c for c in map(chr, range(0x80, 0x30000)) if not "\ud800" <= c <= "\udfff")
-    return "[\\p{M}" + "".join(f"\\x{{{ord(c):x}}}" for c in letters if not mark(c) and mark(unicodedata.normalize("NFC", c).lower())) + "]"
+    changed = (c for c in letters if not unicodedata.is_normalized("NFC", c) or len(c.lower()) > 1)
+    return "[\\p{M}" + "".join(f"\\x{{{ord(c):x}}}" for c in changed if not mark(c) and mark(unicodedata.normalize("NFC", c).lower())) + "]"
 
 
 class ChunkEncoder:
