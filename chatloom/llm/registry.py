@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, decontaminate, embedding_dedup, filter_audit, langid, license_scan, line_dedup, packing, sharding, simhash, toxicity
+from . import bpe, chat_format, decontaminate, embedding_dedup, filter_audit, langid, license_scan, line_dedup, packing, prefix_trie, sharding, simhash, toxicity
 
 _QUERIES = {
     "op1_line_dedup": line_dedup,
@@ -15,6 +15,7 @@ _QUERIES = {
     "op8_chat_format": chat_format,
     "op9_decontaminate": decontaminate,
     "op10_packing": packing,
+    "op11_prefix_trie": prefix_trie,
     "op12_bpe": bpe,
     "op13_filter_audit": filter_audit,
 }
