@@ -26,6 +26,8 @@ RESPONSE_ALIASES = (
 MESSAGE_KEYS = ("messages", "conversations", "conversation", "dialog", "dialogue", "chat", "trace", "content")
 #: Of these, an empty list marks the record as empty.
 EMPTY_KEYS = MESSAGE_KEYS[:3]
+#: Datasets whose files are conversations as a whole, with the mode of file_conversations(). Fixed values.
+FILE_MODES = {"mondk/agentic-coding-traces": "session", "HydraLM/python-code-instructions-18k-alpaca-standardized": "grouped"}
 ROLE_KEYS = ("role", "from", "message_type")
 CONTENT_KEYS = ("content", "message", "value")
 
@@ -143,14 +145,39 @@ def adapted(raw: Column) -> tuple[Column, Column]:
     return found["messages"], found["reject"]
 
 
+def session_turn(v: Column) -> Column:
+    """The turn of one event of a session file; null for events that are no message of a user or an assistant."""
+    said = V.let(F.struct(role(V.get(v, "$.message.role", "string")).alias("role"), normalize(V.content_text(V.get(v, "$.message.content"))).alias("content")), lambda m: F.when(m["role"].isin("user", "assistant") & (m["content"] != ""), m))
+    return F.when(V.get(v, "$.type", "string") == "message", said)
+
+
+def grouped_turn(v: Column) -> Column:
+    """The turn of one row of a file of messages; null for an unknown role or an empty text."""
+    turn = F.struct(role(V.text_of(V.key(v, "message_type"))).alias("role"), V.normalize_value(V.key(v, "message")).alias("content"))
+    return V.let(turn, lambda m: F.when((m["role"] != "") & (m["content"] != ""), m))
+
+
+def file_conversations(rows: DataFrame, by: list[str], order: list[str], mode: str, raw_col: str = "raw") -> DataFrame:
+    """One conversation for each file: `by` and messages, null if the file has no turn. The mode says how the rows
+    of a file are turns: 'session' in their order, 'grouped' by conversation_id and message_id, with adjacent user
+    turns joined. Only turns are shuffled, not the rows."""
+    v, place = V.parse(F.col(raw_col)), [F.col(c) for c in order]
+    if mode == "grouped":
+        number = F.coalesce(V.get(v, "$.message_id", "long"), F.lit(0))
+        place = [F.coalesce(V.text_of(V.key(v, "conversation_id")), F.lit("")), number, *place]
+        turn = F.when(V.kind(v) == "object", grouped_turn(v))
+    else:
+        turn = session_turn(v)
+    known = rows.select(*by, F.struct(*(c.alias(f"_{i}") for i, c in enumerate(place))).alias("place"), turn.alias("turn"))
+    kept = F.collect_list(F.when(F.col("turn").isNotNull(), F.struct("place", "turn")))
+    turns = F.transform(F.array_sort("t"), lambda t: message(t["turn"]["role"], t["turn"]["content"]))
+    said = known.groupBy(*by).agg(kept.alias("t")).select(*by, (merge_adjacent(turns) if mode == "grouped" else turns).alias("messages"))
+    return said.withColumn("messages", F.when(F.size("messages") > 0, F.col("messages")))
+
+
 def session_messages(rows: DataFrame, file_col: str = "file_path", line_col: str = "line_no", raw_col: str = "raw") -> DataFrame:
     """One conversation per session file: its events of type 'message' by a user or an assistant."""
-    v = V.parse(F.col(raw_col))
-    said = role(V.get(v, "$.message.role", "string"))
-    text = normalize(V.content_text(V.get(v, "$.message.content")))
-    kept = rows.select(F.col(file_col), F.struct(F.col(line_col).alias("n"), said.alias("role"), text.alias("content"), (V.get(v, "$.type", "string") == "message").alias("ok")).alias("t"))
-    kept = kept.where(F.col("t.ok") & F.col("t.role").isin("user", "assistant") & (F.col("t.content") != ""))
-    return kept.groupBy(file_col).agg(F.array_sort(F.collect_list("t")).alias("t")).select(file_col, F.transform("t", lambda t: message(t["role"], t["content"])).alias("messages"))
+    return file_conversations(rows, [file_col], [line_col], "session", raw_col).where("messages is not null")
 
 
 def grouped_messages(rows: DataFrame, group_col: str, order_col: str, role_col: str, text_col: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import dataset_id, path_name, path_suffix, size_bytes
+from ..functions.text import dataset_id, path_name, path_suffix, size_bytes, strip
+from . import paths
 
 # Suffixes of data files, and of those that a survey also looks at.
 DATA_SUFFIXES = (".jsonl.gz", ".json.gz", ".jsonl", ".ndjson", ".json", ".parquet", ".csv")
@@ -16,7 +17,7 @@ MAX_FILE_ROWS = 200_000
 
 def file_catalog(spark: SparkSession, root: str, suffixes: tuple[str, ...] | None = None, skip: tuple[str, ...] = (".cache",), max_bytes: int | None = None) -> DataFrame:
     """path, size, suffix of the files below root; contents are not read. Directories in `skip` are left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("size"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths.escaped(root)).select("path", F.col("length").alias("size"))
     below = files.withColumn("suffix", path_suffix(F.col("path")))
     for d in skip:
         below = below.where(~F.contains("path", F.lit(f"/{d}/")))
