@@ -9,8 +9,8 @@ readers, each kind by the reader that it needs, and put together by a union:
 
 Every row has `category`, `dataset`, `file_path`, `file_order`, `block`, `line_no` and `raw`. (file_order,
 block, line_no) orders them as a walk does that sorts directories component by component and reads each
-file from its start; line_no grows inside a block but need not start at 0. No raw text is shuffled, but
-for elements of a JSON list that reach over blocks.
+file from its start: line_no counts the rows of a file, or of a block of a JSON file. No raw text is
+shuffled, but for elements of a JSON list that reach over blocks.
 
 Left out are directories '_*' for categories, '.cache' anywhere, names that start with '_' or '.' (Spark's
 readers skip them), files that lie outside a dataset's directory, and files of other types; skipped()
@@ -19,11 +19,11 @@ names those and the JSON files that do not parse. Bytes that are no UTF-8 are le
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -31,6 +31,8 @@ from . import json_ranges, paths
 from .readers import DATA_SUFFIXES, file_catalog
 
 LINES, WHOLE, PARQUET, CSV = (".jsonl", ".ndjson", ".jsonl.gz"), (".json", ".json.gz"), (".parquet",), (".csv",)
+#: Lines over which a CSV header may go.
+HEADER_LINES = 100
 COLUMNS = ("category", "dataset", "file_path", "file_order", "block", "line_no", "raw")
 ORDER = ["file_order", "block", "line_no"]
 
@@ -46,7 +48,8 @@ def _placed(rows: DataFrame, root: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    rows = paths.text_rows(spark, path, paths.any_case(LINES)).select("file_path", "block", F.col("place").alias("line_no"), paths.readable(F.col("value")).alias("raw"))
+    rows = paths.numbered(paths.text_rows(spark, path, paths.any_case(LINES)))
+    rows = rows.select("file_path", F.lit(0).cast("long").alias("block"), "line_no", paths.readable(F.col("value")).alias("raw"))
     return rows.where(strip(F.col("raw")) != "")
 
 
@@ -54,32 +57,51 @@ def _whole(spark: SparkSession, path: str) -> DataFrame:
     return json_ranges.records(spark, path, paths.any_case(WHOLE)).withColumnRenamed("place", "line_no")
 
 
-def _as_json(table: DataFrame) -> DataFrame:
-    """Rows of any columns as JSON with nulls, from a reader's frame."""
-    names = [F.col("`" + c.replace("`", "``") + "`") for c in table.columns]
-    raw = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}) if names else F.lit("{}")
-    return table.select(paths.file_path().alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_no"), raw.alias("raw"))
+def _as_json(names: list[str], keys: list[str] | None = None) -> Column:
+    """Rows of any columns as JSON, nulls included."""
+    columns = [F.col("`" + c.replace("`", "``") + "`").alias(k) for c, k in zip(names, keys or names)]
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}) if columns else F.lit("{}")
 
 
 def _parquet(spark: SparkSession, directory: str, files: list[str]) -> list[DataFrame]:
-    """One read with the union of the files' columns; where they do not fit, a read a file."""
+    """One read with the union of the files' columns; where they do not fit, one for each schema."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", paths.any_case(PARQUET))
     try:
-        return [_as_json(reader.option("mergeSchema", "true").parquet(directory))]
-    except PySparkException as e:
+        tables = [reader.option("mergeSchema", "true").parquet(directory)]
+    except Exception as e:  # this error of Spark's is not among PySpark's own
         if "CANNOT_MERGE_SCHEMAS" not in str(e):
             raise
-    return [_as_json(reader.parquet(paths.escaped(f))) for f in files]
+        alike = defaultdict(list)
+        for f in files:
+            alike[reader.parquet(paths.escaped(f)).schema.json()].append(f)
+        tables = [reader.parquet(*map(paths.escaped, own)) for own in alike.values()]
+    return [t.select(paths.file_path().alias("file_path"), F.lit(0).cast("long").alias("block"), F.col("_metadata.row_index").alias("line_no"), _as_json(t.columns).alias("raw")) for t in tables]
+
+
+def _header(spark: SparkSession, file: str, first: str) -> list[str]:
+    """The names of a CSV file's columns; a quoted one may go on over the next lines."""
+    lines = [first]
+    if first.count('"') % 2:
+        rows = paths.text_rows(spark, paths.escaped(file)).orderBy("block", "place").limit(HEADER_LINES).collect()
+        lines = [r["value"] for r in rows]
+    return next(csv.reader(line + "\n" for line in lines), [])
 
 
 def _csv(spark: SparkSession, directory: str, files: list[str]) -> list[DataFrame]:
     """One read for all files of a dataset that share their first line, as each file has its own header."""
-    first = paths.text_rows(spark, directory, paths.any_case(CSV)).where("block = 0").groupBy("file_path").agg(F.min_by("value", "place").alias("head"))
+    first = paths.text_rows(spark, directory, paths.any_case(CSV)).where("block = 0").groupBy("file_path").agg(F.min_by(paths.readable(F.col("value")), "place").alias("head"))
     headers = defaultdict(list)
     for r in first.collect():  # one row a file of one dataset
         headers[r["head"]].append(r["file_path"])
-    reader = spark.read.option("header", "true").option("multiLine", "true").option("quote", '"').option("escape", '"').option("emptyValue", "").option("inferSchema", "false")
-    return [_as_json(reader.csv([paths.escaped(f) for f in sorted(own)])) for _, own in sorted(headers.items(), key=lambda x: x[1])]
+    reader = spark.read.option("header", "true").option("multiLine", "true").option("quote", '"').option("escape", '"').option("emptyValue", "")
+    out = []
+    for head, own in sorted(headers.items(), key=lambda x: min(x[1])):
+        keys = _header(spark, min(own), head)
+        names = [f"c{i}" for i in range(len(keys))]  # keys may repeat
+        t = reader.schema(", ".join(f"{n} string" for n in names)).csv([paths.escaped(f) for f in sorted(own)])
+        rows = t.select(paths.file_path().alias("file_path"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("place"), _as_json(names, keys).alias("raw"))
+        out.append(paths.numbered(rows).select("file_path", F.lit(0).cast("long").alias("block"), "line_no", "raw"))  # a file is one block
+    return out
 
 
 def records(spark: SparkSession, root: str) -> DataFrame:

@@ -24,8 +24,6 @@ from ..functions.variant import parse
 from . import paths
 
 SEPARATOR = "},"
-#: Start states are broadcast up to this number of blocks.
-BROADCAST_BLOCKS = 200_000
 
 _ESCAPE = re.compile(r"\\.", re.S)
 _STRING_END = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
@@ -151,7 +149,7 @@ def _cut_rows(spark: SparkSession, path: str | list[str], pattern: str | None) -
     starts = block_starts(spark, path, pattern)
     few = len(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern or "*").text(path).inputFiles())
     pieces = _pieces(spark, path, pattern)
-    small = few + pieces.rdd.getNumPartitions() <= BROADCAST_BLOCKS  # at most that many blocks
+    small = few + pieces.rdd.getNumPartitions() <= paths.BROADCAST_BLOCKS  # at most that many blocks
     # Both scans are split alike, or the row says so: no block may be lost.
     joined = pieces.join(F.broadcast(starts) if small else starts, ["file_path", "block"], "left")
     depth = F.coalesce("depth", F.raise_error(F.lit("the files were split in another way between two scans")).cast("int"))

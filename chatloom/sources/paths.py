@@ -9,9 +9,12 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: What is known of each block is broadcast up to this number of blocks.
+BROADCAST_BLOCKS = 200_000
+
 
 def escaped(path: str) -> str:
     """A path that a reader takes literally."""
@@ -63,6 +66,22 @@ def text_rows(spark: SparkSession, path: str | list[str], pattern: str | None =
     return reader.text(path).select(file_path().alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value")
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows (file_path, block, place, ...) with line_no, the place in the file from 0, instead of block and place. The
+    first place and the number of rows of each block are read beforehand, one row a block, and joined: no row
+    is shuffled unless there are more than BROADCAST_BLOCKS. line_no does not depend on how files are split; if the two
+    scans are split in different ways, the job fails rather than lose a row."""
+    counts = rows.groupBy("file_path", "block").agg(F.min("place").alias("_first"), F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("file_path").orderBy("block"))
+    before = counts.select("file_path", "block", "_first", "_n", (upto - F.col("_n")).alias("_before"))
+    small = len(rows.inputFiles()) + rows.rdd.getNumPartitions() <= BROADCAST_BLOCKS  # at most that many blocks
+    joined = rows.join(F.broadcast(before) if small else before, ["file_path", "block"], "left")
+    local = F.col("place") - F.col("_first")
+    odd = F.raise_error(F.lit("the files were split in another way between two scans")).cast("long")
+    line_no = F.when((local >= 0) & (local < F.col("_n")), F.col("_before") + local).otherwise(odd)
+    return joined.withColumn("line_no", line_no).select("file_path", "line_no", *(c for c in rows.columns if c not in ("file_path", "block", "place")))
+
+
 def readable(text: Column) -> Column:
     """Text without the bytes that are no UTF-8."""
     return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))

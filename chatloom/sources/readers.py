@@ -39,22 +39,10 @@ def skipped_files(catalog: DataFrame) -> DataFrame:
     return catalog.withColumn("reason", F.when(~known, "unsupported file type").when(whole, "unstreamable JSON array")).where("reason is not null")
 
 
-def _ordered_lines(lines: DataFrame) -> DataFrame:
-    """Line numbers from 0 within each file. Lines are numbered inside the block that they were read
-    from, where a task reads them in order, and the line counts of earlier blocks are added, so a
-    large file is numbered by many tasks."""
-    place = lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
-    local = F.row_number().over(Window.partitionBy("file_path", "_block").orderBy("_id"))
-    counts = lines.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_block")).agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("file_path").orderBy("_block")) - F.col("_n")).drop("_n")
-    numbered = place.withColumn("_local", local).join(before, ["file_path", "_block"])
-    return numbered.select("file_path", (F.col("_before") + F.col("_local") - 1).alias("line_no"), F.col("value").alias("raw"))
-
-
 def jsonl(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
-    """file_path, line_no, raw of non-blank lines; .gz is opened, invalid bytes are replaced. Bad lines stay, to be counted."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("*", "_metadata")
-    rows = _ordered_lines(lines).withColumn("raw", F.make_valid_utf8("raw")).where(F.trim("raw") != "")
+    """file_path, line_no, raw of non-blank lines; .gz is opened, invalid bytes are left out. Bad lines stay, to be
+    counted. Lines are numbered without a shuffle (paths.numbered)."""
+    rows = paths.numbered(paths.text_rows(spark, path)).select("file_path", "line_no", paths.readable(F.col("value")).alias("raw")).where(strip(F.col("raw")) != "")
     return rows if limit is None else rows.where(F.col("line_no") < limit)
 
 
@@ -99,7 +87,7 @@ def parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return _ordered_lines(spark.read.text(path).select("*", "_metadata")).withColumnRenamed("raw", "text")
+    return paths.numbered(paths.text_rows(spark, path)).select("file_path", "line_no", F.col("value").alias("text"))
 
 
 def sample(rows: DataFrame, n: int = 3) -> DataFrame:
