@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans import file_queries as _files  # noqa: F401  adds its queries
 from .plans import queries as _plans
 
 

@@ -15,9 +15,16 @@ def lenient(spark: SparkSession) -> None:
     spark.conf.set(LENIENT_JSON, "true")
 
 
+#: Closes the list in which a text is parsed. Fixed value.
+_LAST = "\x01 last"
+
+
 def parse(raw: Column) -> Column:
-    """A VARIANT, or null if the text is not JSON. Duplicate keys: the last wins under LENIENT_JSON."""
-    return F.try_parse_json(raw)
+    """A VARIANT, or null if the text is not one JSON value. Duplicate keys: the last wins under LENIENT_JSON. Spark's
+    parser stops after a value, whatever follows it, so the text is parsed as the first of two elements of a list."""
+    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"\\u0001 last"]')))
+    alone = lambda v: (F.try_variant_get(v, "$[1]", "string") == _LAST) & F.try_variant_get(v, "$[2]", "variant").isNull()
+    return let(pair, lambda v: F.when(alone(v), F.try_variant_get(v, "$[0]", "variant")))
 
 
 def kind(v: Column) -> Column:

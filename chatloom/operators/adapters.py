@@ -133,15 +133,20 @@ def from_record(v: Column) -> Column:
     return F.when(V.kind(v) == "array", topical(v)).when(V.kind(v) == "object", V.let(message_keys(v), chosen))
 
 
-def adapted(raw: Column) -> tuple[Column, Column]:
-    """(messages, reject) of one raw JSON line: malformed_json, unsupported_schema, or null.
+def adapted_record(raw: Column) -> Column:
+    """struct(messages, reject) of one raw JSON line: reject is malformed_json, unsupported_schema, or null.
     An unknown role inside a message list leaves an empty record, which validation rejects as empty."""
 
     def both(v: Column) -> Column:
         malformed = v.isNull() | V.key(v, "__malformed__").isNotNull()
         return V.let(F.when(~malformed, from_record(v)), lambda m: F.struct(m.alias("messages"), F.when(malformed, "malformed_json").when(m.isNull(), "unsupported_schema").alias("reject")))
 
-    found = V.let(V.parse(raw), both)
+    return V.let(V.parse(raw), both)
+
+
+def adapted(raw: Column) -> tuple[Column, Column]:
+    """(messages, reject) of adapted_record()."""
+    found = adapted_record(raw)
     return found["messages"], found["reject"]
 
 

@@ -8,9 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import path_suffix
+from ..functions import variant as V
+from ..functions.text import path_suffix, strip
 from ..session import checkpointed
-from ..sources import readers
+from ..sources import heads, json_ranges, paths, readers
 from ..sources.sinks import markdown_table
 
 
@@ -30,30 +31,55 @@ def format_histogram(catalog: DataFrame, by: Column) -> DataFrame:
     return counts.groupBy("dataset").agg(ordered.alias("o")).select("dataset", F.map_from_entries(F.transform("o", lambda x: F.struct(x["suffix"], x["n"]))).alias("formats"), F.transform("o", lambda x: x["suffix"]).alias("suffixes"))
 
 
-#: How records of a suffix are counted; add your own.
+def _lines(spark: SparkSession, files: list[str], header: int = 0) -> DataFrame:
+    """Lines that are not blank, less the header, by file."""
+    some = F.count_if(strip(paths.readable(F.col("value"))) != "")
+    return paths.text_rows(spark, files).groupBy("file_path").agg(F.greatest(some - header, F.lit(0)).alias("records"))
+
+
+def _whole_json(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The elements of a list, or of the first list among an object's values (null: it has none). What does not parse is
+    counted by lines."""
+    found = json_ranges.values(spark, files)
+    v = V.parse(F.col("raw"))
+    inner = F.transform(F.json_object_keys("raw"), lambda k: F.try_variant_get(v, F.concat(F.lit("$['"), k, F.lit("']")), "array<variant>"))
+    first = F.get(F.filter(inner, lambda x: x.isNotNull()), F.lit(0))
+    records = F.when(F.bool_and("listed"), F.count("*")).otherwise(F.max(F.when(~F.col("listed"), F.when(first.isNotNull(), F.size(first)))))
+    by_file = found.groupBy("file_path").agg(F.bool_and("ok").alias("ok"), records.cast("long").alias("n"))
+    lines = _lines(spark, files).withColumnRenamed("records", "lines")
+    return by_file.join(lines, "file_path").select("file_path", F.when(F.col("ok"), F.col("n")).otherwise(F.col("lines")).alias("records"))
+
+
+#: How records of a suffix are counted: file_path and records, from a session and literal paths; add your own. A file without
+#: a row counts 0, one with null is not counted.
 COUNTERS = {
-    ".jsonl": lambda spark, paths: readers.jsonl(spark, paths).groupBy("file_path").count(),
-    ".ndjson": lambda spark, paths: readers.jsonl(spark, paths).groupBy("file_path").count(),
-    ".json": lambda spark, paths: readers.whole_json(spark, paths).groupBy("file_path").count(),
-    ".parquet": lambda spark, paths: spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("file_path")).count(),
-    ".csv": lambda spark, paths: readers.csv(spark, paths).groupBy(F.input_file_name().alias("file_path")).count(),
+    ".jsonl": _lines,
+    ".ndjson": _lines,
+    ".json": _whole_json,
+    # without columns the footers alone are read
+    ".parquet": lambda spark, files: spark.read.parquet(*files).groupBy(paths.file_path().alias("file_path")).agg(F.count("*").alias("records")),
+    ".csv": lambda spark, files: _lines(spark, files, 1),
 }
 
 
 def record_counts(spark: SparkSession, catalog: DataFrame, files: int = 10_000) -> DataFrame:
-    """file_path and count for every file that a counter knows; other files have no row, so a dataset
-    with nothing countable sums to null. Spark's readers take paths from the driver: they come in parts
-    of at most `files` paths, each counted and written before the next is listed."""
+    """file_path and records for every file of a catalog that can be counted; other files have no row, so a dataset with
+    nothing countable sums to null. Lines that are not blank count for JSON lines and, but for the header, for CSV;
+    Parquet and Arrow files are counted by their metadata. Spark's readers take paths from the driver: they come in
+    parts of at most `files` paths, each counted and written before the next is listed."""
     listed = checkpointed(catalog.select("path").distinct().withColumn("_part", F.pmod(F.xxhash64("path"), F.lit(max(1, -(-2 * catalog.count() // files))))))
-    out = None
+    out = heads.arrow_counts(listed.where(F.endswith(F.lower("path"), F.lit(".arrow")))).withColumnRenamed("path", "file_path")
     for part in sorted(r["_part"] for r in listed.select("_part").distinct().collect()):
-        paths = sorted(r["path"] for r in listed.where(F.col("_part") == part).collect())
+        own_part = listed.where(F.col("_part") == part)
+        found = sorted(r["path"] for r in own_part.collect())
         for suffix, count in COUNTERS.items():
-            own = [p for p in paths if p.lower().removesuffix(".gz").endswith(suffix)]
+            own = [p for p in found if p.lower().removesuffix(".gz").endswith(suffix)]
             if own:
-                one = checkpointed(count(spark, own).withColumnRenamed("count", "records"))
-                out = one if out is None else out.unionByName(one)
-    return spark.createDataFrame([], "file_path string, records long") if out is None else out
+                counted = count(spark, [paths.escaped(p) for p in own]).select(F.col("file_path").alias("_of"), F.col("records").alias("_n"))
+                every = spark.createDataFrame([(p,) for p in own], "file_path string").join(counted, F.col("file_path") == F.col("_of"), "left")
+                records = F.when(F.col("_of").isNull(), F.lit(0)).otherwise(F.col("_n")).cast("long")
+                out = out.unionByName(checkpointed(every.select("file_path", records.alias("records")).where("records is not null")))
+    return out
 
 
 def row_count(df: DataFrame) -> int:
@@ -62,11 +88,14 @@ def row_count(df: DataFrame) -> int:
 
 
 def field_names(spark: SparkSession, path: str) -> list[str]:
-    """The fields of the first data file's first record, sorted; none for other types."""
+    """The fields of the first data file's first record, sorted; none for other types. Only the head of the file is read."""
     low = path.lower()
     if low.endswith(".parquet"):
-        return sorted(spark.read.parquet(path).columns)
-    rows = readers.whole_json(spark, path) if low.endswith((".json", ".json.gz")) else readers.jsonl(spark, path)
+        return sorted(spark.read.parquet(paths.escaped(path)).columns)
+    if heads.by_arrow(path):
+        rows = heads.first_records(spark.createDataFrame([(path,)], "path string"), 1)
+    else:
+        rows = readers.whole_json(spark, paths.escaped(path)) if low.endswith((".json", ".json.gz")) else readers.jsonl(spark, paths.escaped(path), 1)
     first = rows.where("line_no = 0").select(F.json_object_keys("raw").alias("k")).first()
     return sorted(first["k"] or []) if first else []
 

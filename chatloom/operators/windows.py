@@ -57,9 +57,20 @@ def byte_budget(rows: DataFrame, budget: int, order: list[str], size: Column) ->
 
 
 def carried(rows: DataFrame, value: Column, name: str, by: list[str], order: list[str]) -> DataFrame:
-    """Adds the last non-null value at or before each row of its group: section headings of a file."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(name, F.last(value, ignorenulls=True).over(w))
+    """Adds the last non-null value at or before each row of its group: section headings of a file. A segmented
+    scan in two levels, so that a group in most of the rows is spread: range partitions carry their own
+    values, and the last value of earlier partitions, one row a partition and group, goes on below."""
+    parts = ranged(rows.withColumn("_value", value), *by, *order)
+    place = F.struct(*order)
+    lasts = parts.groupBy("_part", *by).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), place)).alias("_last"))
+    earlier = F.last("_last", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    above = lasts.select(F.col("_part").alias("_p"), *(F.col(c).alias(f"_by_{c}") for c in by), earlier.alias("_above"))
+    local = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    known = parts.withColumn("_own", F.last("_value", ignorenulls=True).over(local))
+    same = known["_part"] == above["_p"]
+    for c in by:
+        same = same & known[c].eqNullSafe(above[f"_by_{c}"])
+    return known.join(above, same).withColumn(name, F.coalesce("_own", "_above")).select(*(c for c in rows.columns if c != name), name)
 
 
 def last_index(messages: Column, who: str = "user") -> Column:

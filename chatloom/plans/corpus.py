@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +12,28 @@ from pyspark.sql import functions as F
 
 from ..functions.text import message
 from ..functions.variant import lenient
-from ..operators.adapters import FILE_MODES, adapted, file_conversations
+from ..operators.adapters import FILE_MODES, adapted_record, file_conversations
 from ..operators.validate import annotate
 from ..operators.windows import ordinals
 from ..sources import corpus_source
 
 
-def formatted(raw: DataFrame, order: list[str], scope: list[str] | None = None, exclusions: DataFrame | None = None, max_records: int | None = None, file_modes: dict[str, str] | None = None, **limits) -> DataFrame:
+def formatted(raw: DataFrame, order: list[str], scope: list[str] | None = None, exclusions: DataFrame | None = None, max_records: int | None = None, file_modes: dict[str, str] | None = None, read_datasets: Callable[..., DataFrame] | None = None, **limits) -> DataFrame:
     """raw: lines `raw` with lineage columns. Excluded datasets (dataset, reason) are left out.
     max_records: the first accepted records of each dataset. file_modes: datasets each of whose files is one
-    record, which stands in the place of the file's first row. Of repeated JSON keys the last counts, for which a
+    record, which stands in the place of the file's first row; read_datasets reads such datasets alone, else raw is
+    read once more for each mode. Of repeated JSON keys the last counts, for which a
     setting of the session is made."""
     lenient(raw.sparkSession)
     rows = raw if exclusions is None else raw.join(exclusions.select("dataset"), "dataset", "left_anti")
-    messages, reject = adapted(F.col("raw"))
     whole = F.coalesce(F.col("dataset").isin(*file_modes), F.lit(False)) if file_modes else F.lit(False)
-    read = (rows.where(~whole) if file_modes else rows).withColumn("messages", messages).withColumn("_early", reject)
+    # a generator, as Spark would copy the whole expression into each part of a union
+    read = (rows.where(~whole) if file_modes else rows).select("*", F.inline(F.array(adapted_record(F.col("raw"))))).withColumnRenamed("reject", "_early")
     for mode in sorted(set((file_modes or {}).values())):
-        own = rows.where(F.col("dataset").isin(*(d for d, m in file_modes.items() if m == mode)))
+        names = tuple(sorted(d for d, m in file_modes.items() if m == mode))
+        own = read_datasets(names) if read_datasets else rows.where(F.col("dataset").isin(*names))
+        if read_datasets and exclusions is not None:
+            own = own.join(exclusions.select("dataset"), "dataset", "left_anti")
         by = [c for c in ("category", "dataset", "file_path", "file_order") if c in rows.columns]
         inside = [c for c in order if c not in by]
         made = file_conversations(own, by, inside, mode)
@@ -45,7 +50,7 @@ def formatted_tree(spark: SparkSession, root: str, exclusions: DataFrame | None
     """All data files below <root>/<category>/<owner>__<name>/ to annotated records: duplicates are those of a
     category, the first in the order of files and lines stays. file_modes: FILE_MODES unless given."""
     modes = FILE_MODES if file_modes is None else file_modes
-    return formatted(corpus_source.records(spark, root), corpus_source.ORDER, ["category"], exclusions, max_records, modes, **limits)
+    return formatted(corpus_source.records(spark, root), corpus_source.ORDER, ["category"], exclusions, max_records, modes, lambda names: corpus_source.records(spark, root, names), **limits)
 
 
 def conversations(rows: DataFrame, group: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

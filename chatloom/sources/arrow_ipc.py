@@ -5,29 +5,33 @@ from __future__ import annotations
 import glob
 import os
 import re
+from urllib.parse import quote
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 
 
 def _located(path: str):
-    """The file system of a path or URI (local, hdfs, s3, gs, abfs as pyarrow knows them), and the path in it."""
+    """The file system of a path or URI as Spark shows it, not encoded (local, hdfs, s3, gs, abfs as pyarrow knows them), and
+    the path in it."""
     from pyarrow import fs
 
-    uri = re.sub("^file:/+", "file:///", path)
-    return fs.FileSystem.from_uri(uri if "://" in uri else os.path.abspath(uri))
+    if path.startswith("file:/") or "://" not in path:
+        return fs.LocalFileSystem(), os.path.abspath(re.sub("^file:/+", "/", path))
+    scheme, rest = path.split("://", 1)
+    return fs.FileSystem.from_uri(f"{scheme}://{quote(rest, safe='/:@')}")
 
 
-def _open(path: str):
+def _open(path: str, options=None):
     import pyarrow as pa
 
     system, inner = _located(path)
     source = system.open_input_file(inner)
     try:
-        return pa.ipc.open_file(source)
+        return pa.ipc.open_file(source, options=options)
     except pa.ArrowInvalid:
         source.seek(0)
-        return pa.ipc.open_stream(source)
+        return pa.ipc.open_stream(source, options=options)
 
 
 def _paths(root: str) -> list[str]:

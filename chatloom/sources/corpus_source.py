@@ -47,13 +47,19 @@ def _placed(rows: DataFrame, root: str) -> DataFrame:
     return named.where(inside).withColumn("category", F.get("_parts", F.lit(0))).withColumn("dataset", dataset).select(*COLUMNS)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _directory(path: Column, root: str) -> Column:
+    """The directory of a dataset: root and two components."""
+    inner = F.length(F.array_join(F.slice(F.split(paths.below(path, root), "/"), F.lit(3), F.lit(1 << 20)), "/"))
+    return F.substring(path, F.lit(1), F.length(path) - inner - 1)
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = paths.numbered(paths.text_rows(spark, path, paths.any_case(LINES)))
     rows = rows.select("file_path", F.lit(0).cast("long").alias("block"), "line_no", paths.readable(F.col("value")).alias("raw"))
     return rows.where(strip(F.col("raw")) != "")
 
 
-def _whole(spark: SparkSession, path: str) -> DataFrame:
+def _whole(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return json_ranges.records(spark, path, paths.any_case(WHOLE)).withColumnRenamed("place", "line_no")
 
 
@@ -104,21 +110,23 @@ def _csv(spark: SparkSession, directory: str, files: list[str]) -> list[DataFram
     return out
 
 
-def records(spark: SparkSession, root: str) -> DataFrame:
-    """The raw records of all data files below root."""
-    top = paths.escaped(root.rstrip("/"))
+def records(spark: SparkSession, root: str, datasets: tuple[str, ...] | None = None) -> DataFrame:
+    """The raw records of all data files below root, or of some datasets, of which alone the directories are read."""
+    files = file_catalog(spark, root, DATA_SUFFIXES).withColumnRenamed("path", "file_path")
+    files = _placed(files.select("file_path", *(F.lit(None).cast(k).alias(n) for n, k in (("block", "long"), ("line_no", "long"), ("raw", "string")))), root)
+    if datasets is not None:
+        files = files.where(F.col("dataset").isin(*datasets))
+    # the driver gets the directories of datasets, and the names of files of the kinds that have columns
+    low = F.lower("file_path")
+    tabular = F.endswith(low, F.lit(PARQUET[0])) | F.endswith(low, F.lit(CSV[0]))
+    listed = files.withColumn("directory", _directory(F.col("file_path"), root)).groupBy("directory", F.endswith(low, F.lit(PARQUET[0])).alias("parquet")).agg(F.array_sort(F.collect_list(F.when(tabular, F.col("file_path")))).alias("names")).orderBy("directory", "parquet").collect()
+    if not listed:
+        return spark.createDataFrame([], "category string, dataset string, file_path string, file_order string, block long, line_no long, raw string")
+    top = paths.escaped(root.rstrip("/")) if datasets is None else [paths.escaped(d) for d in sorted({r["directory"] for r in listed})]
     found = [_lines(spark, top), _whole(spark, top)]
-    # a path a file of the kinds that have columns, as the driver plans one read a dataset
-    tables = file_catalog(spark, root, (*PARQUET, *CSV)).withColumnRenamed("path", "file_path")
-    placed = _placed(tables.select("file_path", *(F.lit(None).cast(k).alias(n) for n, k in (("block", "long"), ("line_no", "long"), ("raw", "string")))), root)
-    depth = len(paths.bare(root).split("/")) + 2
-    by_directory = defaultdict(list)
-    for r in placed.select("file_path").orderBy("file_path").collect():
-        start = r["file_path"].removesuffix(paths.bare(r["file_path"]))
-        directory = start + "/".join(paths.bare(r["file_path"]).split("/")[:depth])
-        by_directory[directory, r["file_path"].lower().endswith(PARQUET)].append(r["file_path"])
-    for (directory, is_parquet), files in sorted(by_directory.items()):
-        found += (_parquet if is_parquet else _csv)(spark, paths.escaped(directory), files)
+    for r in listed:
+        if r["names"]:
+            found += (_parquet if r["parquet"] else _csv)(spark, paths.escaped(r["directory"]), r["names"])
     return _placed(reduce(DataFrame.unionByName, found), root)
 
 

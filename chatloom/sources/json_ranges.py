@@ -167,7 +167,7 @@ def _cut_rows(spark: SparkSession, path: str | list[str], pattern: str | None) -
 
 
 def values(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
-    """file_path, block, place, raw, ok: one row for each element of a list file or for any other whole file, and one
+    """file_path, block, place, raw, listed, ok: one row for each element of a list file or for any other whole file, and one
     row that is not ok for what makes a file bad. Order in a file: (block, place)."""
     rows = _cut_rows(spark, path, pattern)
     broken = rows.where(F.col("kind").isin(HEAD, MIDDLE, TAIL))
@@ -176,8 +176,8 @@ def values(spark: SparkSession, path: str | list[str], pattern: str | None = Non
     joined = broken.withColumn("number", number).groupBy("file_path", "number").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.bool_or("listed").alias("listed"))
     first, last = F.get("parts", F.lit(0)), F.element_at("parts", -1)
     complete = (first["kind"] == TAIL) & (~F.col("listed") | (last["kind"] == HEAD))
-    whole = joined.select("file_path", first["block"].alias("block"), first["place"].alias("place"), F.array_join(F.col("parts.raw"), "").alias("raw"), complete.alias("ok"))
-    inner = rows.where(F.col("kind").isin(WHOLE, BAD)).select("file_path", "block", "place", "raw", (F.col("kind") == WHOLE).alias("ok"))
+    whole = joined.select("file_path", first["block"].alias("block"), first["place"].alias("place"), F.array_join(F.col("parts.raw"), "").alias("raw"), "listed", complete.alias("ok"))
+    inner = rows.where(F.col("kind").isin(WHOLE, BAD)).select("file_path", "block", "place", "raw", "listed", (F.col("kind") == WHOLE).alias("ok"))
     every = inner.unionByName(whole)
     return every.withColumn("ok", F.col("ok") & parse(F.col("raw")).isNotNull())
 
@@ -190,4 +190,4 @@ def bad_files(found: DataFrame) -> DataFrame:
 def records(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """file_path, block, place, raw of the files that parse as a whole."""
     found = values(spark, path, pattern)
-    return found.join(bad_files(found), "file_path", "left_anti").drop("ok")
+    return found.join(bad_files(found), "file_path", "left_anti").drop("ok", "listed")

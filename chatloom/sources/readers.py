@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import dataset_id, path_name, path_suffix, size_bytes, strip
-from . import paths
+from ..functions.variant import parse
+from . import heads, json_ranges, paths
 
 # Suffixes of data files, and of those that a survey also looks at.
 DATA_SUFFIXES = (".jsonl.gz", ".json.gz", ".jsonl", ".ndjson", ".json", ".parquet", ".csv")
 SURVEY_SUFFIXES = (*DATA_SUFFIXES, ".arrow", ".txt", ".parquet.gz")
-MAX_INLINE_JSON_BYTES = 256 << 20
-MAX_FILE_ROWS = 200_000
 
 
 def file_catalog(spark: SparkSession, root: str, suffixes: tuple[str, ...] | None = None, skip: tuple[str, ...] = (".cache",), max_bytes: int | None = None) -> DataFrame:
-    """path, size, suffix of the files below root; contents are not read. Directories in `skip` are left out."""
+    """path, size, suffix of the files below root; contents are not read. Directories in `skip` are left out, and so are empty
+    files, which no read of Spark's lists."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths.escaped(root)).select("path", F.col("length").alias("size"))
     below = files.withColumn("suffix", path_suffix(F.col("path")))
     for d in skip:
@@ -33,10 +33,9 @@ def skipped_files(catalog: DataFrame) -> DataFrame:
     """Files that no reader takes, with the reason."""
     name = F.lower(path_name(F.col("path")))
     known = F.lit(False)
-    for s in DATA_SUFFIXES:
-        known = known | F.endswith(name, F.lit(s))
-    whole = (F.endswith(name, F.lit(".json")) | F.endswith(name, F.lit(".json.gz"))) & (F.col("size") > MAX_INLINE_JSON_BYTES)
-    return catalog.withColumn("reason", F.when(~known, "unsupported file type").when(whole, "unstreamable JSON array")).where("reason is not null")
+    for suffix in DATA_SUFFIXES:
+        known = known | F.endswith(name, F.lit(suffix))
+    return catalog.where(~known).withColumn("reason", F.lit("unsupported file type"))
 
 
 def jsonl(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
@@ -46,35 +45,51 @@ def jsonl(spark: SparkSession, path: str | list[str], limit: int | None = None)
     return rows if limit is None else rows.where(F.col("line_no") < limit)
 
 
-def whole_json(spark: SparkSession, path: str | list[str], max_bytes: int = MAX_INLINE_JSON_BYTES) -> DataFrame:
-    """Whole-file JSON: one row per element of a list, one for an object; a bad file is one malformed row,
-    and so is a file of more than max_bytes, with a marker in place of its text."""
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("_size"))
-    small = F.col("_size") <= max_bytes
-    parsed = files.withColumn("value", F.when(small, F.col("value")).otherwise(F.concat(F.lit('{"__malformed__": "a file of '), F.col("_size"), F.lit(' bytes"}')))).withColumn("_v", F.try_parse_json("value"))
-    listed = F.try_variant_get("_v", "$", "array<variant>")
-    items = F.when(F.col("_v").isNull(), F.array(F.col("value"))).otherwise(F.coalesce(F.transform(listed, lambda x: F.to_json(x)), F.array(F.to_json("_v"))))
-    return parsed.select("file_path", F.posexplode(items).alias("line_no", "raw"))
+def whole_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whole-file JSON of any size: file_path, line_no, raw, a row for each element of a list and one for any other value.
+    A file that does not parse is one malformed row."""
+    found = json_ranges.values(spark, path)
+    bad = json_ranges.bad_files(found).select("file_path", F.lit(0).cast("long").alias("line_no"), F.lit('{"__malformed__": "a file that does not parse"}').alias("raw"))
+    place = F.row_number().over(Window.partitionBy("file_path").orderBy("block", "place")) - 1  # of narrow rows only
+    good = found.join(bad.select("file_path"), "file_path", "left_anti")
+    numbers = good.select("file_path", "block", "place", place.cast("long").alias("line_no"))
+    rows = good.join(numbers, ["file_path", "block", "place"]).select("file_path", "line_no", F.to_json(F.try_parse_json("raw")).alias("raw"))
+    return rows.unionByName(bad)
 
 
 def array_or_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """A file whose first character is '[' is one array, any other JSON lines. Only the first lines are
-    looked at to tell; JSON lines are then read in blocks, and arrays alone as whole files."""
-    first = jsonl(spark, path).groupBy("file_path").agg(F.min_by(F.startswith(F.ltrim("raw"), F.lit("[")), "line_no").alias("is_list"))
+    """A file whose first sign is '[' is one list, any other JSON lines. With a limit only the heads of the files are read,
+    where tasks can open them; else the heads tell how each file is read. The driver gets the files' names, as it does
+    for every read of Spark's."""
+    files = file_catalog(spark, path)
+    opened = heads.by_arrow(path)
+    if limit is not None and opened:
+        return heads.first_records(_lines_or_lists(files), limit).select(F.col("path").alias("file_path"), "line_no", "raw")
+    if opened:
+        known = heads.list_files(files)
+    else:
+        lines = paths.text_rows(spark, paths.escaped(path)).where(F.trim("value") != "")
+        known = lines.groupBy(F.col("file_path").alias("path")).agg(F.min_by(F.startswith(F.ltrim("value"), F.lit("[")), F.struct("block", "place")).alias("listed"))
     found = {True: [], False: []}
-    for r in first.collect():  # one row a file
-        found[r["is_list"]].append(r["file_path"])
+    for r in known.collect():  # one row a file
+        found[r["listed"]].append(paths.escaped(r["path"]))
     rows = spark.createDataFrame([], "file_path string, line_no long, raw string")
     if found[False]:
         rows = rows.unionByName(jsonl(spark, found[False]))
     if found[True]:
-        rows = rows.unionByName(whole_json(spark, found[True]).withColumn("line_no", F.col("line_no").cast("long")))
+        rows = rows.unionByName(whole_json(spark, found[True]))
     return rows if limit is None else rows.where(F.col("line_no") < limit)
 
 
+def _lines_or_lists(files: DataFrame) -> DataFrame:
+    """Without the binary kinds, which are neither."""
+    binary = F.lower("path")
+    return files.where(~F.endswith(binary, F.lit(".parquet")) & ~F.endswith(binary, F.lit(".arrow")) & ~F.endswith(binary, F.lit(".csv")))
+
+
 def tolerant(rows: DataFrame) -> DataFrame:
     """Only the rows that parse."""
-    return rows.where(F.try_parse_json("raw").isNotNull())
+    return rows.where(parse(F.col("raw")).isNotNull())
 
 
 def csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -392,12 +392,12 @@ def test_readers_without_size_limits(spark, tmp_path):
     got = sorted((r.file_path[-6:], r.line_no, r.raw[:8]) for r in readers.array_or_lines(spark, str(tmp_path)).collect())
     assert got == [("a.json", 0, '{"x":1}'), ("a.json", 1, '{"x":2}'), ("b.json", 0, '{"x": 3}'), ("b.json", 2, '{"x": 4}'), ("b.json", 3, "{bad"), ("c.json", 0, '{"x": "y')]
     assert readers.array_or_lines(spark, str(tmp_path), limit=1).count() == 3
-    large = readers.whole_json(spark, str(tmp_path / "c.json"), max_bytes=100)
     _, reject = adapters.adapted(F.col("raw"))
-    assert [r[0] for r in large.select(reject).collect()] == ["malformed_json"]
+    assert [r[0] for r in readers.whole_json(spark, str(tmp_path / "b.json")).select(reject).collect()] == ["malformed_json"]
+    assert readers.whole_json(spark, str(tmp_path / "c.json")).count() == 1
     catalog = readers.file_catalog(spark, str(tmp_path))
     counts = {r.file_path[-6:]: r.records for r in inventory.record_counts(spark, catalog, files=1).collect()}
-    assert counts == {"a.json": 2, "b.json": 1, "c.json": 1}
+    assert counts == {"a.json": 2, "b.json": 3}  # b does not parse and has three lines, c holds no list
     assert {r.body for r in readers.file_bodies(spark, str(tmp_path / "a.json")).collect()} == {(tmp_path / "a.json").read_text()}
     hashed = readers.with_hash(spark.read.format("binaryFile").load(str(tmp_path / "a.json"))).first()
     import hashlib
