@@ -64,6 +64,13 @@ def reject_counts(annotated: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def observed_counts(annotated: DataFrame, name: str) -> DataFrame:
+    """The same rows; whoever runs them gets the counts as an observation of this name: raw, accepted and each reject
+    reason, without a job of their own."""
+    reasons = [F.count_if(F.col("reject") == r).alias(r) for r in REJECTS]
+    return annotated.observe(name, F.count(F.lit(1)).alias("raw"), F.count_if(F.col("reject").isNull()).alias("accepted"), *reasons)
+
+
 def violations(messages: Column, roles: tuple = ROLES) -> dict[str, Column]:
     """Counters of the record contract, by name, for a canonical record."""
     some = F.coalesce(messages, F.array().cast("array<struct<role:string,content:string>>"))

@@ -1,46 +1,60 @@
 """Incremental formatting: a stream of JSON lines, deduplicated against everything kept so far.
 
-Each micro-batch goes through the batch plan and an anti-join on the stored keys, so the survivors
-are those of one batch run over the same lines. Sink and keys are written under the batch id, which
-makes a repeated batch overwrite itself.
+The keys of kept records are keyed state in RocksDB, partitioned by key and looked up one by one: a
+micro-batch reads and writes as many keys as it has, however long the history. Records are validated and adapted
+by the batch plan's columns, so the contents that survive are those of one batch run over the same
+lines; of equal records in one micro-batch any one stays, with its file_path. Records are written under the
+batch's number and the state is versioned with it, so a repeated batch overwrites itself.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
 from ..functions.variant import lenient
-from ..operators.adapters import adapted
-from ..operators.dedup import new_only
-from ..operators.validate import annotate
+from ..operators.adapters import adapted_record
+from ..operators.validate import annotate, observed_counts
+from ..sources import paths
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _read_keys(spark: SparkSession, keys: str, before: int) -> DataFrame:
-    empty = spark.createDataFrame([], "dedup_key string, batch long")
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A setting that a query takes over when it starts, and that the session does not keep."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
-        return spark.read.schema("dedup_key string").option("basePath", keys).parquet(keys).where(F.col("batch") < before)
-    except Exception as e:  # nothing has been kept yet
-        if "PATH_NOT_FOUND" in str(e):
-            return empty
-        raise
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
 
+def formatted_lines(lines: DataFrame, **limits) -> DataFrame:
+    """Annotated records of a frame of raw lines (raw, file_path), batch or stream, without duplicates being marked."""
+    read = lines.where(strip(F.col("raw")) != "").select("*", F.inline(F.array(adapted_record(F.col("raw"))))).withColumnRenamed("reject", "_early")
+    return annotate(read, [], early="_early", dedup=False, **limits)
 
-def format_stream(spark: SparkSession, source: str, out: str, checkpoint: str, available_now: bool = True, **limits):
-    """Starts the stream: JSON lines below source to accepted records below out/records. Returns the query."""
+
+def format_stream(spark: SparkSession, source: str, out: str, checkpoint: str, available_now: bool = True, max_files: int | None = None, **limits):
+    """Starts the stream: JSON lines below source to accepted records below out/records. Returns the query, whose progress
+    holds the counters of each micro-batch under observedMetrics: `read` (raw and each reason but duplicates) and
+    `kept` (accepted)."""
     lenient(spark)
-    lines = spark.readStream.text(source, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"))
-    keys = f"{out}/keys"
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    lines = reader.text(paths.escaped(source)).select(paths.readable(F.col("value")).alias("raw"), paths.file_path().alias("file_path"))
+    done = observed_counts(formatted_lines(lines, **limits), "read")
+    fresh = done.where("reject is null").select("messages", "dedup_key", "split", "file_path").dropDuplicates(["dedup_key"]).observe("kept", F.count(F.lit(1)).alias("accepted"))
 
     def batch(df: DataFrame, n: int) -> None:
-        session = df.sparkSession
-        raw = df.where(F.trim("value") != "").withColumnRenamed("value", "raw").withColumn("ord", F.monotonically_increasing_id())
-        messages, reject = adapted(F.col("raw"))
-        done = annotate(raw.withColumn("messages", messages).withColumn("_early", reject), ["file_path", "block", "ord"], early="_early", **limits)
-        fresh = new_only(done.where("reject is null"), _read_keys(session, keys, n), "dedup_key").persist()
-        fresh.select("messages", "dedup_key", "split", "file_path").write.mode("overwrite").parquet(f"{out}/records/batch={n}")
-        fresh.select("dedup_key").write.mode("overwrite").parquet(f"{keys}/batch={n}")
-        fresh.unpersist()
-
-    writer = lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+        df.write.mode("overwrite").parquet(f"{out}/records/batch={n}")
+
+    writer = fresh.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -296,6 +296,49 @@ def test_stream_equals_batch(spark, tmp_path):
     assert kept.count() == 12 and kept.select("dedup_key").distinct().count() == 12
 
 
+def test_stream_state_does_not_read_its_history(spark, tmp_path):
+    """Twenty micro-batches: each looks up its own keys, and the counters come with the progress."""
+    import os
+
+    from chatloom.streaming.incremental import format_stream
+
+    source, out = tmp_path / "in [x]", tmp_path / "out"
+    source.mkdir()
+    record = lambda i: json.dumps({"prompt": f"question number {i} of some length", "response": "an answer of some length"}) + "\n"
+    for k in range(20):  # five new keys, five of the file before, one bad line
+        (source / f"{k:02}.jsonl").write_text("".join(record(i) for i in range(5 * k, 5 * k + 10)) + "{bad\n\n")
+        os.utime(source / f"{k:02}.jsonl", (1_700_000_000 + k, 1_700_000_000 + k))  # the order in which files are taken
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    query = format_stream(spark, str(source), str(out), str(tmp_path / "cp"), max_files=1)
+    query.awaitTermination(300)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+    steps = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in steps] == [10] + [5] * 19
+    assert [p["observedMetrics"]["kept"]["accepted"] for p in steps] == [10] + [5] * 19
+    assert all((p["observedMetrics"]["read"]["raw"], p["observedMetrics"]["read"]["malformed_json"]) == (11, 1) for p in steps)
+    # nothing but the batch's own file is read
+    assert all(len(p["sources"]) == 1 and p["numInputRows"] == 12 for p in steps)
+    kept = spark.read.parquet(f"{out}/records")
+    assert kept.count() == 105 and kept.select("dedup_key").distinct().count() == 105
+    batch = corpus.formatted(readers.jsonl(spark, str(source).replace("[", "\\[").replace("]", "\\]")).withColumn("dataset", F.lit("d")), ["file_path", "line_no"])
+    assert {r.dedup_key for r in batch.where("reject is null").collect()} == {r.dedup_key for r in kept.collect()}
+    # a repeated batch overwrites itself
+    format_stream(spark, str(source), str(out), str(tmp_path / "cp"), max_files=1).awaitTermination(120)
+    assert spark.read.parquet(f"{out}/records").count() == 105
+
+
+def test_counts_come_with_the_job(spark):
+    from pyspark.sql import Observation
+
+    rows = raw_rows(spark)
+    done = corpus.formatted(rows, ["file_path", "line_no"])
+    seen = Observation("counts")
+    reasons = [F.count_if(F.col("reject") == r).alias(r) for r in validate.REJECTS]
+    done.observe(seen, F.count(F.lit(1)).alias("raw"), F.count_if(F.col("reject").isNull()).alias("accepted"), *reasons).write.format("noop").mode("overwrite").save()
+    want = validate.reject_counts(done, []).first().asDict()
+    assert seen.get == {k: want[k] for k in seen.get} and seen.get["duplicate"] == 20
+
+
 def test_inventory(spark, tmp_path):
     from chatloom.operators import inventory
 
