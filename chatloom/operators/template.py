@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .windows import last_index
 
@@ -13,6 +15,8 @@ from .windows import last_index
 START, END = "<|im_start|>", "<|im_end|>"
 THINK = "<think>\n\n</think>\n\n"
 IGNORED = -100
+#: Conversations that are encoded together.
+BATCH_ROWS = 512
 
 
 def render(messages: Column, generation_prompt: bool = False, thinking: bool = False) -> Column:
@@ -42,55 +46,109 @@ def check_render(messages: Column, rendered: Column) -> dict[str, Column]:
     }
 
 
-def whitespace_tokenizer(text: str) -> list[int]:
+class CharTokenizer:
     """A reversible stand-in for tests: one id a character."""
-    return [ord(c) for c in text]
-
-
-def tokenize_chat(df: DataFrame, tokenizer: Callable[[str], list[int]], max_length: int, messages: str = "messages") -> DataFrame:
-    """Adds input_ids, attention_mask, labels (IGNORED outside assistant turns) and assistant_tokens.
-
-    The mask follows the longest-prefix method: the tokens that a turn adds are those after the
-    longest common prefix of the renderings with and without it."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", input_ids array<int>, attention_mask array<int>, labels array<int>, assistant_tokens int, full_length int"
-
-    def encode(turns) -> tuple[list[int], list[bool]]:
-        text, spans = "", []
-        last = max((i for i, m in enumerate(turns) if m["role"] == "user"), default=-1)
-        for i, m in enumerate(turns):
-            head = f"{START}{m['role']}\n" + (THINK if m["role"] == "assistant" and i > last else "")
-            begin = text + head
-            text = begin + m["content"] + END + "\n"
-            if m["role"] == "assistant":
-                spans.append((begin, begin + m["content"] + END))
-        ids = tokenizer(text)
-        mask = [False] * len(ids)
-        for begin, end in spans:
-            a, b = _common(ids, tokenizer(begin)), _common(ids, tokenizer(end))
-            for k in range(a, b):
-                mask[k] = True
-        return ids, mask
-
-    def run(frames):
-        for pdf in frames:
-            out = [encode(list(m)) for m in pdf[messages]]
-            pdf["input_ids"] = [ids[:max_length] for ids, _ in out]
-            pdf["attention_mask"] = [[1] * min(len(ids), max_length) for ids, _ in out]
-            pdf["labels"] = [[t if k else IGNORED for t, k in zip(ids[:max_length], mask)] for ids, mask in out]
-            pdf["assistant_tokens"] = [sum(mask[:max_length]) for _, mask in out]
-            pdf["full_length"] = [len(ids) for ids, _ in out]
-            yield pdf
-
-    return df.mapInPandas(run, schema)
-
-
-def _common(a: list[int], b: list[int]) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+
+    def __call__(self, text: str) -> list[int]:
+        return [ord(c) for c in text]
+
+    def batch(self, texts: list[str]) -> list[tuple]:
+        return [(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32), np.arange(1, len(t) + 1)) for t in texts]
+
+
+whitespace_tokenizer = CharTokenizer()
+
+
+class FileTokenizer:
+    """A tokenizer from a file, loaded once a worker."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __reduce__(self):
+        return FileTokenizer, (self.path,)
+
+    def _loaded(self):
+        if not hasattr(self, "_tokenizer"):
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
+    def __call__(self, text: str) -> list[int]:
+        return self._loaded().encode(text, add_special_tokens=False).ids
+
+    def batch(self, texts: list[str]) -> list[tuple]:
+        """(ids, ends) of each text: where each token ends, in characters."""
+        found = self._loaded().encode_batch(texts, add_special_tokens=False)
+        return [(np.array(e.ids, np.int32), np.fromiter((b for _, b in e.offsets), np.int64, len(e.ids))) for e in found]
+
+
+pandas_tokenizer = FileTokenizer
+
+
+def _parts(messages: Column) -> tuple[Column, Column]:
+    """The rendering as texts, three a turn: what stands before a content, the content with its end, and a line feed; and
+    whether each turn is an assistant's."""
+    last = last_index(messages)
+
+    def turn(m: Column, i: Column) -> Column:
+        wrap = F.when((m["role"] == "assistant") & (i > last), F.lit(THINK)).otherwise(F.lit(""))
+        return F.array(F.concat(F.lit(START), m["role"], F.lit("\n"), wrap), F.concat(m["content"], F.lit(END)), F.lit("\n"))
+
+    return F.flatten(F.transform(messages, turn)), F.transform(messages, lambda m: m["role"] == "assistant")
+
+
+def tokenize_chat(df: DataFrame, tokenizer, max_length: int, messages: str = "messages", learn: str = "all") -> DataFrame:
+    """Adds input_ids, attention_mask, labels (IGNORED where nothing is learned), assistant_tokens and full_length.
+
+    Each conversation is encoded once, with the place where each token ends; the turns' places in the text,
+    which are sums of lengths, are searched among them, so the work is linear in the tokens. A token belongs to a turn
+    if it ends inside it. That is what follows the longest common prefix of the encodings with and without the turn,
+    where the template's own text before the turn is encoded alike in both.
+    learn: 'all' assistant turns with their end markers, or the 'last' one with what follows it. The tokenizer has
+    batch(texts) as FileTokenizer has."""
+    if learn not in ("all", "last"):
+        raise ValueError(f"learn must be 'all' or 'last', not {learn!r}")
+    parts, said = _parts(F.col(messages))
+    names = list(df.columns)
+    plain = df.select(*(F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(names)), parts.alias("parts"), said.alias("said"))
+    schema = T.StructType([*plain.drop("parts", "said").schema, *(T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("input_ids", "attention_mask", "labels")), T.StructField("assistant_tokens", T.IntegerType()), T.StructField("full_length", T.IntegerType())])
+
+    def rows(batch: pa.RecordBatch):
+        texts = pc.binary_join(batch.column("parts"), "")
+        ends = np.cumsum(pc.utf8_length(batch.column("parts").flatten()).to_numpy(zero_copy_only=False).astype(np.int64))
+        turns = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("said")).to_numpy(zero_copy_only=False).astype(np.int64))])
+        spoken = batch.column("said").flatten().to_numpy(zero_copy_only=False)
+        ids, masks, full = [], [], []
+        for k, (own, stops) in enumerate(tokenizer.batch(texts.to_pylist())):
+            a, b = turns[k], turns[k + 1]
+            before = ends[3 * a - 1] if a else 0
+            place = ends[3 * a : 3 * b].reshape(-1, 3) - before
+            place = place[spoken[a:b].astype(bool)]
+            mask = np.zeros(len(own) + 1, np.int64)
+            if learn == "last":
+                place = place[-1:]
+            stop = np.maximum.accumulate(stops) if len(stops) else stops
+            np.add.at(mask, np.searchsorted(stop, place[:, 0], "right"), 1)
+            if learn == "all":
+                np.add.at(mask, np.searchsorted(stop, place[:, 1], "right"), -1)
+            ids.append(own[:max_length])
+            masks.append(np.cumsum(mask)[: len(own)][:max_length] > 0)
+            full.append(len(own))
+        return ids, masks, full
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                ids, masks, full = rows(batch)
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32))
+                flat, mask = np.concatenate([*ids, []]).astype(np.int32), np.concatenate([*masks, []]).astype(bool)
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int32))) for v in (flat, np.ones(len(flat)), np.where(mask, flat, IGNORED))]
+                yield pa.record_batch([*batch.columns[:-2], *lists, pa.array([int(m.sum()) for m in masks], pa.int32()), pa.array(full, pa.int32())], schema.names)
+
+    return plain.mapInArrow(run, schema).toDF(*names, *schema.names[-5:])
 
 
 def drop_all_masked(tokens: DataFrame) -> DataFrame:
@@ -106,18 +164,3 @@ def truncation_stats(tokens: DataFrame, by: list[str], max_length: int, worst: f
         F.avg((F.col("assistant_tokens") == 0).cast("double")).alias("all_masked"),
         F.avg(F.least(F.lit(1.0), F.lit(max_length) / F.greatest(F.col("full_length"), F.lit(1)))).alias("kept_share"),
     ).withColumn("passes", F.col("truncated") <= worst)
-
-
-def pandas_tokenizer(path: str) -> Callable[[str], list[int]]:
-    """A tokenizer from a file, loaded once a worker."""
-    cache: dict = {}
-
-    def run(text: str) -> list[int]:
-        if "t" not in cache:
-            from tokenizers import Tokenizer
-
-            cache["t"] = Tokenizer.from_file(path)
-        return cache["t"].encode(text, add_special_tokens=False).ids
-
-    return run
-

@@ -138,6 +138,16 @@ def conv_tokens_kept(spark, sf_dir):
     return template.drop_all_masked(tokens).select("conv_id", *(F.col(c).cast("long").alias(c) for c in ("assistant_tokens", "full_length")))
 
 
+@query()
+def conv_span_tokens(spark, sf_dir):
+    """Ids and assistant masks of all conversations under a real tokenizer, as digests."""
+    import public_tokenizers
+
+    tokens = template.tokenize_chat(_conv(spark, sf_dir), template.FileTokenizer(public_tokenizers.path("byte_bpe_50k.json")), 4096)
+    joined = lambda c: F.sha2(F.array_join(F.col(c).cast("array<string>"), ","), 256).alias(f"{c}_sha256")
+    return tokens.select("conv_id", joined("input_ids"), joined("labels"), F.col("assistant_tokens").cast("long").alias("assistant_tokens"), F.col("full_length").cast("long").alias("full_length"))
+
+
 @query("""WITH f AS (SELECT conv_id, arg_min(lower(text), turn) FILTER (role = 'user') AS p FROM conversations GROUP BY conv_id)
 SELECT CASE WHEN contains(p, 'zu') OR contains(p, 'der ') THEN 'german' WHEN contains(p, ' the ') THEN 'english' ELSE 'other' END AS expert, count(*) AS n FROM f WHERE p IS NOT NULL GROUP BY ALL""")
 def route_prompts(spark, sf_dir):

@@ -188,6 +188,64 @@ def test_template_and_tokens(spark):
     assert template.truncation_stats(tokens.withColumn("c", F.lit(1)), ["c"], 10).first().truncated == 1.0
 
 
+def by_prefixes(tokenizer, turns, learn):
+    """ids and mask by the longest common prefix of encodings with and without a turn: quadratic, and plain."""
+
+    def common(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    text, spans = "", []
+    last = max((i for i, m in enumerate(turns) if m[0] == "user"), default=-1)
+    for i, (who, said) in enumerate(turns):
+        begin = text + f"{template.START}{who}\n" + (template.THINK if who == "assistant" and i > last else "")
+        text = begin + said + template.END + "\n"
+        if who == "assistant":
+            spans.append((begin, begin + said + template.END))
+    ids = tokenizer(text)
+    mask = [False] * len(ids)
+    for begin, end in spans if learn == "all" else [(b, text) for b, _ in spans[-1:]]:
+        for k in range(common(ids, tokenizer(begin)), common(ids, tokenizer(end))):
+            mask[k] = True
+    return ids, mask
+
+
+@pytest.mark.parametrize("learn", ["all", "last"])
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", None])
+def test_span_masks_by_offsets(spark, name, learn):
+    """Equal to the longest-prefix masks for real tokenizers, on the driver's conversations and on odd ones."""
+    import os
+
+    tokenizer = template.FileTokenizer(os.path.join("/opt/tokenizers", name)) if name else template.whitespace_tokenizer
+    odd = [[("user", "a")], [("assistant", "b")], [], [("system", "s"), ("user", "é漢👍"), ("assistant", " two\n\nlines "), ("user", ""), ("assistant", "")], [("assistant", "x"), ("user", "y")], [("user", "q"), ("assistant", "z" * 3000)]]
+    rows = spark.createDataFrame([(i, m, "x") for i, m in enumerate(odd)], f"conv_id long, messages {MESSAGES}, parts string")
+    real = corpus.conversations(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")).withColumn("parts", F.lit("x")).withColumn("conv_id", F.col("conv_id") + 100)
+    got = template.tokenize_chat(rows.unionByName(real).repartition(3), tokenizer, 2000, learn=learn)
+    assert got.columns[:3] == ["conv_id", "messages", "parts"]
+    for r in got.collect():
+        ids, mask = by_prefixes(tokenizer, [(m.role, m.content) for m in r.messages], learn)
+        assert r.full_length == len(ids) and r.input_ids == ids[:2000] and r.attention_mask == [1] * len(ids[:2000])
+        learned = [t != template.IGNORED for t in r.labels]
+        assert r.assistant_tokens == sum(learned) and all(t == i for t, i, k in zip(r.labels, ids, learned) if k)
+        if name == "byte_bpe_50k.json":
+            # it encodes line feeds at the end of a text in another way than before a word, so the prefixes without a
+            # turn part with the template's last line feeds, which are no part of the turn
+            assert all(k or not m or ids[i] in (198, 628) for i, (k, m) in enumerate(zip(learned, mask))) and all(m for k, m in zip(learned, mask) if k), r.conv_id
+        else:
+            assert learned == mask[:2000], r.conv_id
+
+
+def test_round_trip_of_what_is_learned(spark):
+    """The text under the mask, decoded, is what the assistant said, with its end markers."""
+    from tokenizers import Tokenizer
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    conv = corpus.conversations(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))
+    plain = Tokenizer.from_file(path)
+    for r in template.tokenize_chat(conv, template.FileTokenizer(path), 1 << 30).collect():
+        learned = plain.decode([t for t in r.labels if t != template.IGNORED])
+        assert learned == "".join(m.content + template.END for m in r.messages if m.role == "assistant")
+
+
 def test_recipes(spark):
     vuln = spark.createDataFrame([("abc", "net", None, "overflow", "r1")], "introducing_commit string, subsystem string, subsystem_path string, bug_type string, related_fixes string")
     got = [said(r.messages) for r in recipes.vulnerabilities(vuln).collect()]
