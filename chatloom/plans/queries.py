@@ -278,6 +278,15 @@ def doc_normalize(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.length(text).cast("long").alias("norm_len"), F.sha2(text, 256).alias("norm_sha256"))
 
 
+@query("""WITH n AS (SELECT lang, sha256(text) AS h, row_number() OVER (PARTITION BY lang ORDER BY doc_id, sha256(text)) - 1 AS n FROM documents),
+a AS (SELECT lang, n // 64 AS n, sha256(string_agg(h, '' ORDER BY n)) AS h FROM n GROUP BY ALL), b AS (SELECT lang, n // 64 AS n, sha256(string_agg(h, '' ORDER BY n)) AS h FROM a GROUP BY ALL),
+c AS (SELECT lang, sha256(string_agg(h, '' ORDER BY n)) AS digest FROM b GROUP BY ALL)
+SELECT c.lang, count(*) AS n_lines, digest FROM c JOIN documents ON c.lang IS NOT DISTINCT FROM documents.lang GROUP BY ALL""")
+def doc_ordered_digest(spark, sf_dir):
+    """A digest of each language's texts in order, in three levels of 64."""
+    return windows.ordered_digest(table(spark, sf_dir, "documents"), F.col("text"), ["lang"], ["doc_id"], 64, 3)
+
+
 @query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
 def doc_exact_dedup(spark, sf_dir):
     keyed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("key"))

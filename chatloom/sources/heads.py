@@ -14,9 +14,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
 from .arrow_ipc import _located, _open
 
 STEP = 1 << 16
@@ -174,3 +175,35 @@ def arrow_counts(files: DataFrame, path: str = "path") -> DataFrame:
             yield pa.record_batch([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["path", "records"])
 
     return files.select(F.col(path).alias("path")).mapInArrow(run, "path string, records long")
+
+
+def walk(spark: SparkSession, root: str, skip: tuple[str, ...] = (".git", ".cache"), depth: int = 256) -> DataFrame:
+    """path and size of the files below root. Directories are listed by tasks, a level at a time, and those named in
+    `skip` are never entered, so what is below them costs nothing; links to directories are not followed in circles, as
+    `depth` levels are the most. Hidden and empty files are listed too."""
+
+    def listed(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for name in batch.column(0).to_pylist():
+                system, inner = _located(name)
+                before = name[: name.rindex(inner)] if inner in name else name.split("://")[0] + "://"
+                for x in system.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+                    if x.type == fs.FileType.Directory and x.base_name not in skip:
+                        found.append((before + x.path, None, True))
+                    elif x.type == fs.FileType.File:
+                        found.append((before + x.path, x.size, False))
+            columns = zip(*found) if found else ([], [], [])
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.bool_()))], ["path", "size", "directory"])
+
+    here, out = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string"), None
+    for _ in range(depth):
+        level = checkpointed(here.repartition("path").mapInArrow(listed, "path string, size long, directory boolean"))
+        files = level.where("not directory").select("path", "size")
+        out = files if out is None else out.unionByName(files)
+        here = level.where("directory").select("path")
+        if here.isEmpty():
+            return out
+    raise RecursionError(f"directories are nested deeper than {depth} levels below {root}")

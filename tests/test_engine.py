@@ -176,6 +176,77 @@ def test_windows(spark):
     assert [r.section for r in windows.carried(lines, heading, "section", ["file"], ["n"]).orderBy("n").collect()] == ["A", "A", "B", "B"]
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_carried_in_two_levels(spark, partitions):
+    rows = [("f", i, f"## {i}" if i % 37 == 5 else "x") for i in range(400)] + [("g", 0, "y"), (None, 1, "## z"), (None, 2, "y")]
+    df = spark.createDataFrame(rows, "file string, n int, text string").repartition(partitions)
+    heading = F.nullif(F.regexp_extract("text", "^## (.+)$", 1), F.lit(""))
+    got = {(r.file, r.n): r.section for r in windows.carried(df, heading, "section", ["file"], ["n"]).collect()}
+    want, last = {}, {}
+    for file, n, text in rows:
+        last[file] = text[3:] if text.startswith("## ") else last.get(file)
+        want[file, n] = last[file]
+    assert got == want
+
+
+def test_a_small_budget_reads_little(spark, tmp_path):
+    """Of 20,000 rows a budget of 1 % measures a few percent, each up to four times (its slice, the bounds of the range
+    partitions, these themselves), and takes the rows that a whole sort would."""
+    spark.range(20_000).select("id", F.concat(F.lit("t"), F.col("id")).alias("t")).write.parquet(str(tmp_path / "r"))
+    measured = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def size(t):
+        measured.add(1)
+        return len(t)
+
+    rows = spark.read.parquet(str(tmp_path / "r"))
+    got = [r.id for r in windows.byte_budget(rows, 1000, ["id"], size(F.col("t"))).orderBy("id").collect()]
+    total = 0
+    want = []
+    for i in range(20_000):
+        if total >= 1000:
+            break
+        want.append(i)
+        total += len(f"t{i}")
+    assert got == want and measured.value < 3000
+    for budget in (0, 1, 10**9):
+        assert windows.byte_budget(rows, budget, ["id"], F.length("t")).count() == {0: 0, 1: 1, 10**9: 20_000}[budget]
+    odd = spark.createDataFrame([(None, 5), (None, 5), ("b", 5), ("a", 5)], "k string, n int")
+    assert sorted(str(r.k) for r in windows.byte_budget(odd, 12, ["k"], F.col("n")).collect()) == ["None", "None", "a"]
+    assert windows.byte_budget(odd.where("false"), 12, ["k"], F.col("n")).count() == 0
+
+
+def test_ordered_digest(spark):
+    import hashlib
+
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    rows = [("a", i, f"line {i}") for i in range(30)] + [("b", 0, "x"), (None, 0, "y")]
+    make = lambda r, n: spark.createDataFrame(r, "g string, i int, t string").repartition(n)
+    digest = lambda r, n, **kw: {x.g: (x.n_lines, x.digest) for x in windows.ordered_digest(make(r, n), F.col("t"), ["g"], ["i"], 4, **kw).collect()}
+    level = [sha(t) for _, _, t in rows[:30]]
+    for _ in range(3):
+        level = [sha("".join(level[k : k + 4])) for k in range(0, len(level), 4)]
+    got = digest(rows, 1)
+    assert got["a"] == (30, level[0]) and got["b"] == (1, sha(sha(sha(sha("x"))))) and set(got) == {"a", "b", None}
+    assert digest(rows, 9) == got
+    swapped = [*rows[:3], ("a", 3, "line 4"), ("a", 4, "line 3"), *rows[5:]]
+    assert digest(swapped, 2)["a"] != got["a"] and digest(swapped, 2)["b"] == got["b"] and digest([], 1) == {}
+    with pytest.raises(Exception, match="more lines"):
+        digest(rows, 1, levels=2)
+
+
+def test_walk_does_not_enter_skipped_directories(spark, tmp_path):
+    from chatloom.sources import heads
+
+    for name in ("a/b c/x.txt", "a/.hidden", "a/.git/objects/y", "z [1]/w", ".git/q", "top"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    found = {r.path.removeprefix(f"{tmp_path}/"): r["size"] for r in heads.walk(spark, str(tmp_path)).collect()}
+    assert found == {n: len(n) for n in ("a/b c/x.txt", "a/.hidden", "z [1]/w", "top")}
+    assert heads.walk(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_template_and_tokens(spark):
     df = spark.createDataFrame([([("user", "hi"), ("assistant", "yo"), ("user", "again"), ("assistant", "fine")],)], f"messages {MESSAGES}")
     text = df.select(template.render(F.col("messages"))).first()[0]
