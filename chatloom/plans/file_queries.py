@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ..operators import inventory
 from ..operators.windows import carried
 from ..session import ensure_checkpoint_dir, table
-from ..sources import corpus_source, heads, json_ranges, paths, readers
+from ..sources import corpus_sink, corpus_source, heads, json_ranges, paths, readers
 from . import corpus
-from .queries import query
+from .queries import _DOC, _doc_annotated, query
 
 
 def scratch(spark: SparkSession) -> str:
@@ -134,3 +134,16 @@ def carried_sections(spark, sf_dir):
     """Headings carried down one group of all rows, in many tasks."""
     head = F.when(F.col("o_custkey") % 50 == 0, F.concat(F.lit("section "), "o_custkey"))
     return carried(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), head, "section", [], ["o_orderkey"]).select("o_orderkey", "section")
+
+
+@query(_DOC + """, l AS (SELECT lang, total, source, row_number() OVER (PARTITION BY lang ORDER BY total DESC, source DESC) AS down, row_number() OVER (PARTITION BY lang ORDER BY total, source) AS up FROM s WHERE reject IS NULL),
+t AS (SELECT lang, string_agg(total || ' ' || source, ',' ORDER BY down) FILTER (down <= 20) AS longest, string_agg(total || ' ' || source, ',' ORDER BY up) FILTER (up <= 20) AS shortest FROM l GROUP BY lang)
+SELECT lang, count(*) AS raw, count(*) FILTER (split = 'train') AS train_lines, count(*) FILTER (split = 'val') AS val_lines, count(*) FILTER (reject = 'too_short') AS too_short, count(*) FILTER (reject = 'too_long') AS too_long, count(*) FILTER (reject = 'duplicate') AS duplicate, any_value(longest) AS longest, any_value(shortest) AS shortest
+FROM s LEFT JOIN t USING (lang) GROUP BY lang""")
+def corpus_manifest(spark, sf_dir):
+    """The manifest that a corpus is published with, from the pass that writes it."""
+    rows = _doc_annotated(spark, sf_dir).withColumnsRenamed({"lang": "category", "source": "dataset"})
+    found = corpus_sink.write_corpus(rows, scratch(spark), ["doc_id"], {"seed": 42})["categories"]
+    joined = lambda best: ",".join(f"{x['chars']} {x['dataset']}" for x in best)
+    made = [(c["category"], sum(d["raw"] for d in c["per_dataset"]), c["train_lines"], c["val_lines"], *(c["rejects"][r] for r in ("too_short", "too_long", "duplicate")), joined(c["longest_records"]), joined(c["shortest_records"])) for c in found]
+    return spark.createDataFrame(made, "lang string, raw long, train_lines long, val_lines long, too_short long, too_long long, duplicate long, longest string, shortest string")

@@ -2,6 +2,7 @@
 
 import csv
 import gzip
+import hashlib
 import io
 import json
 import os
@@ -12,9 +13,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.operators import inventory
+from chatloom.operators import inventory, validate
 from chatloom.plans import corpus
-from chatloom.sources import corpus_source, heads, json_ranges, paths, readers
+from chatloom.sources import corpus_sink, corpus_source, heads, json_ranges, paths, readers
 
 ANSWER = "an answer that is long enough"
 
@@ -308,3 +309,52 @@ def test_arrays_or_lines_with_odd_names(spark, tmp_path):
     put(f"{tmp_path}/50%+.jsonl", '\n{"x": 5}')
     got = sorted((r.file_path.rsplit("/", 1)[-1], r.line_no, json.loads(r.raw)["x"]) for r in readers.array_or_lines(spark, str(tmp_path)).collect())
     assert got == [("50%+.jsonl", 1, 5), ("a b.json", 0, 1), ("a b.json", 1, 2), ("c[d]{e}.json", 0, 3), ("c[d]{e}.json", 1, 4)]
+
+
+# -- the transactional sink --------------------------------------------------------------------
+
+
+def annotated(spark, n=300):
+    rows = [(i, "cat é/1" if i % 3 else "b", f"d{i % 2}", [("user", f"question {i % 250}"), ("assistant", "long enough é\n" * (i % 9))]) for i in range(n)]
+    rows.append((n, "only rejects", "d9", [("user", "x")]))
+    df = spark.createDataFrame(rows, "i long, category string, dataset string, messages array<struct<role:string,content:string>>")
+    return validate.annotate(df.repartition(5), ["i"], ["category"], min_chars=30, max_chars=90, val_fraction=0.3)
+
+
+def test_corpus_sink(spark, tmp_path):
+    path, rows = str(tmp_path / "corpus [1]"), annotated(spark)
+    manifest = corpus_sink.write_corpus(rows, path, ["i"], {"seed": 42, "min_chars": 30})
+    want = {(r.category, r.dataset): r for r in validate.reject_counts(rows, ["category", "dataset"]).collect()}
+    kept = sorted(rows.where("reject is null").collect(), key=lambda r: r.i)
+    assert [c["category"] for c in manifest["categories"]] == ["b", "cat é/1", "only rejects"]
+    for c in manifest["categories"]:
+        assert (c["seed"], c["min_chars"]) == (42, 30)
+        for d in c["per_dataset"]:
+            r = want[c["category"], d["dataset"]]
+            assert (d["raw"], d["accepted"], d["rejects"]) == (r.raw, r.accepted, {x: r[x] for x in validate.REJECTS})
+        own = [r for r in kept if r.category == c["category"]]
+        pairs = sorted((r.total_chars, r.dataset) for r in own)
+        assert [(x["chars"], x["dataset"]) for x in c["longest_records"]] == pairs[::-1][:20] and [(x["chars"], x["dataset"]) for x in c["shortest_records"]] == pairs[:20]
+        for split in ("train", "val"):
+            lines = [json.dumps({"messages": [{"role": m.role, "content": m.content} for m in r.messages]}, ensure_ascii=False) for r in own if r.split == split]
+            data = b"".join(open(f"{path}/{f['name']}", "rb").read() for f in c[f"{split}_files"])
+            assert data.decode() == "".join(x + "\n" for x in lines) and c[f"{split}_lines"] == len(lines) and c[f"{split}_bytes"] == len(data)
+            assert all(f["sha256"] == hashlib.sha256(open(f"{path}/{f['name']}", "rb").read()).hexdigest() for f in c[f"{split}_files"])
+            found = corpus_sink.read_corpus(spark, path, c["category"], split)
+            assert sorted(r.value for r in found.collect()) == sorted(lines)
+
+
+def test_a_failed_write_leaves_the_old_corpus(spark, tmp_path):
+    path = str(tmp_path / "c")
+    corpus_sink.write_corpus(annotated(spark, 60), path, ["i"])
+    before, folders = corpus_sink.read_manifest(path), set(os.listdir(path))
+    late = annotated(spark).withColumn("dataset", F.when(F.col("i") == 250, F.raise_error(F.lit("killed")).cast("string")).otherwise(F.col("dataset")))
+    with pytest.raises(Exception, match="killed"):
+        corpus_sink.write_corpus(late, path, ["i"])
+    assert corpus_sink.read_manifest(path) == before and set(os.listdir(path)) == folders
+    after = corpus_sink.write_corpus(annotated(spark), path, ["i"])
+    assert corpus_sink.read_manifest(path) == after != before
+    (only,) = [c for c in after["categories"] if c["category"] == "only rejects"]
+    assert only["train_lines"] == 0 and corpus_sink.read_corpus(spark, path, "only rejects", "train").count() == 0
+    with pytest.raises(FileNotFoundError):
+        corpus_sink.read_manifest(str(tmp_path / "none"))
