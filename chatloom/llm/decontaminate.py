@@ -155,11 +155,13 @@ def exact_matches(index: DataFrame, found: DataFrame, ranked: DataFrame, items:
     aligned = checkpointed(aligned)  # a row holds the windows of one benchmark text at most
     covered = F.array_distinct(F.flatten(F.transform("ws", lambda w: F.sequence(w["start"], w["start"] + w["length"] - 1))))
     said = items.select("src", F.posexplode("w").alias("i", "word")).join(_small(terms, small), "word").select("src", "i", "term")
-    need = aligned.select("doc", "src", "shift", F.explode(covered).alias("pos")).withColumn("i", F.col("pos") - F.col("shift")).join(_small(said, few), ["src", "i"])
-    missing = need.join(_of(index, aligned).select("doc", "term", "pos"), ["doc", "term", "pos"], "left_anti").groupBy("doc", "src", "shift").agg(F.collect_list("pos").alias("missing"))
-    kept = F.filter("ws", lambda w: ~F.exists("missing", lambda p: p.between(w["start"], w["start"] + w["length"] - 1)))
-    good = aligned.join(missing, ["doc", "src", "shift"], "left").select("doc", F.explode(F.when(F.col("missing").isNull(), F.col("ws")).otherwise(kept)).alias("w"))
-    return good.select("doc", "w.window_id", "w.start", "w.length")
+    key = ["doc", "src", "shift"]
+    # all windows of one text have the same length
+    need = aligned.select(*key, F.get("ws", F.lit(0))["length"].alias("length"), F.explode(covered).alias("pos")).withColumn("i", F.col("pos") - F.col("shift")).join(_small(said, few), ["src", "i"])
+    missing = need.join(_of(index, aligned).select("doc", "term", "pos"), ["doc", "term", "pos"], "left_anti")
+    # a missing word spoils the windows that start at most a length before it
+    spoilt = missing.select(*key, F.explode(F.sequence(F.col("pos") - F.col("length") + 1, F.col("pos"))).alias("start")).distinct()
+    return aligned.select(*key, F.inline("ws")).join(spoilt, [*key, "start"], "left_anti").select("doc", "window_id", "start", "length")
 
 
 def proximity_matches(index: DataFrame, found: DataFrame, ranked: DataFrame, few: bool, slop: int = SLOP, share: float = NEAR_SHARE) -> DataFrame:
