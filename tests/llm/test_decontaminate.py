@@ -101,3 +101,13 @@ def test_common_passages_and_long_texts(spark, docs):
     rows = [(k, f"before{k} {shared} after") for k in range(300)] + [(1000, f"{shared} gap " * 400 + "own3 words3"), (1001, "w1 " * 20_000)]
     got = {r.doc_id: (r.n_hit, len(r["items"])) for r in D.contamination(docs(rows), bench(spark, items)).collect()}
     assert all(got[k] == (60, 30) for k in range(300)) and got[1000] == (24_000, 30) and got[1001] == (0, 0)
+
+
+def test_long_near_copies_in_linear_work(spark, docs):
+    """A benchmark text of 6,000 words, copied with every 40th word changed and with every tenth: each window costs the
+    same, however many words are missing, and exactly the whole windows count."""
+    text = [f"w{i}x" for i in range(6000)]
+    change = lambda k: [f"new{i}" if i % k == k - 1 else w for i, w in enumerate(text)]
+    rows = [(1, " ".join(change(40))), (2, " ".join(change(10))), (3, " ".join(text)), (4, "before " + " ".join(text[100:112]) + " after")]
+    got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in D.contamination(docs(rows), bench(spark, [(1, " ".join(text))]), proximity=False).collect()}
+    assert got == {1: (6000, 5850, True), 2: (6000, 0, False), 3: (6000, 6000, True), 4: (14, 0, False)}
