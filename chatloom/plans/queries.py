@@ -112,11 +112,14 @@ def conv_render_template(spark, sf_dir):
     return _conv(spark, sf_dir).select("conv_id", F.sha2(text, 256).alias("rendered_sha256"), F.length(text).cast("long").alias("rendered_chars"))
 
 
-@query("""SELECT conv_id, count(*) AS n_start, count(*) AS n_end, true AS starts, true AS counts, true AS content_clean, bool_or(role = 'assistant' AND text <> '') AS has_assistant FROM conversations GROUP BY conv_id""")
+@query("""WITH m AS (SELECT *, length(text) % 7 = 0 AS marked FROM conversations)
+SELECT conv_id, count(*) + count(*) FILTER (marked) AS n_start, count(*) AS n_end, true AS starts, NOT bool_or(marked) AS counts, NOT bool_or(marked) AS content_clean, bool_or(role = 'assistant' AND (marked OR text <> '')) AS has_assistant FROM m GROUP BY conv_id""")
 def conv_special_token_check(spark, sf_dir):
+    """Conversations in which some texts, by their lengths, hold a turn marker, so that the checks fail on them."""
+    turns = table(spark, sf_dir, "conversations").withColumn("text", F.when(F.length("text") % 7 == 0, F.concat("text", F.lit(template.START))).otherwise(F.col("text")))
     text = template.render(F.col("messages"))
     checks = template.check_render(F.col("messages"), text)
-    return _conv(spark, sf_dir).select("conv_id", template.occurrences(text, template.START).cast("long").alias("n_start"), template.occurrences(text, template.END).cast("long").alias("n_end"), *(c.alias(k) for k, c in checks.items()))
+    return corpus.conversations(turns).select("conv_id", template.occurrences(text, template.START).cast("long").alias("n_start"), template.occurrences(text, template.END).cast("long").alias("n_end"), *(c.alias(k) for k, c in checks.items()))
 
 
 _TOKENS = """WITH l AS (SELECT conv_id, coalesce(max(turn) FILTER (role = 'user'), -1) AS u FROM conversations GROUP BY conv_id),
@@ -679,7 +682,9 @@ def survey_keys_family(spark, sf_dir):
     return found.select("event_type", F.array_join("keys", ",").alias("keys"), validate.schema_family(F.col("keys")).alias("family"))
 
 
-@query("""SELECT event_type, 3::BIGINT AS sampled, 'k' AS keys FROM (SELECT DISTINCT event_type FROM events)""")
+@query("""WITH r AS (SELECT event_type, props, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events), s AS (SELECT * FROM r WHERE k <= 3),
+c AS (SELECT event_type, count(*) AS sampled FROM s GROUP BY event_type), u AS (SELECT DISTINCT event_type, unnest(json_keys(props)) AS key FROM s)
+SELECT event_type, sampled, (SELECT array_to_string(list_sort(list(key)), ',') FROM u WHERE u.event_type = c.event_type) AS keys FROM c""")
 def survey_samples(spark, sf_dir):
     found = profile.survey_rows(table(spark, sf_dir, "events"), "props", ["event_type"], ["event_id"])
     return found.select("event_type", "sampled", F.array_join("keys", ",").alias("keys"))

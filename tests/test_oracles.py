@@ -61,8 +61,14 @@ def same_rows(spark, db, name, data):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, cur.fetchall())
 
 
+#: Queries that write and format files, half a minute each: they run under two of the settings.
+LONG = ("tree_formatted", "tree_record_counts", "corpus_manifest")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, db, settings, name):
+    if name in LONG and settings not in ("default", "folded to 64 KB"):
+        pytest.skip("runs under two settings")
     same_rows(spark, db, name, DATA)
 
 
