@@ -64,14 +64,15 @@ def encoded(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     # written, as ids made while reading would differ from read to read
     words = checkpointed(turns.groupBy("h1", "h2").agg(F.first("bytes").alias("bytes")).withColumn("id", F.monotonically_increasing_id()))
     done = checkpointed(_by_turn(turns.drop("bytes").join(words, ["h1", "h2"]), "turn"))
+    shaped = lambda df: df.select("conv_id", F.col("turns.id").alias("ids"), F.col("turns.bytes").alias("sizes"))
     repeats = F.size(F.array_distinct(F.transform("turns", lambda t: t["turn"]))) < F.size("turns")
     tied = done.where(repeats).select("conv_id")
-    if not tied.isEmpty():
-        again = plain.join(tied, "conv_id", "left_semi").select("conv_id", "turn", *hashes, F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")).alias("place"))
-        ranked = _by_turn(again.join(words, ["h1", "h2"]), "turn", "place")
-        shape = lambda df: df.select("conv_id", *(F.transform("turns", lambda t, k=k: t[k]).alias(n) for k, n in (("id", "ids"), ("bytes", "sizes"))))
-        return shape(done.where(~repeats)).unionByName(shape(ranked))
-    return done.select("conv_id", F.col("turns.id").alias("ids"), F.col("turns.bytes").alias("sizes"))
+    if tied.isEmpty():
+        return shaped(done)
+    # only of conversations whose turns tie are roles and texts compared
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    again = plain.join(tied, "conv_id", "left_semi").select("conv_id", "turn", *hashes, place.alias("place"))
+    return shaped(done.where(~repeats)).unionByName(shaped(_by_turn(again.join(words, ["h1", "h2"]), "turn", "place")))
 
 
 def shared_heads(coded: DataFrame, every: int = 5, heads: int = 9) -> DataFrame:
