@@ -11,9 +11,9 @@ checked by the cosine of the original vectors in double precision. A block pair
 and a star per connected group, at most two rows a vector, never its links one by one.
 
 A tile travels once for every block that its own block may meet, not for every tile, and is rotated
-once for all of them; pairs of blocks are found in SALTS parts of a label. The number of pairs is
-still quadratic in the vectors of one label that no box keeps apart: in many dimensions unrelated
-vectors are closer along any few axes than the threshold's distance.
+once for all of them; pairs of blocks are found by the cells of a grid that their boxes touch. The number
+of pairs is still quadratic in the vectors of one label that no box keeps apart: in many dimensions
+unrelated vectors are closer along any few axes than the threshold's distance.
 
 The principal axes come from second moments over all vectors; they steer the pruning only and
 cannot change the result.
@@ -43,8 +43,10 @@ from .components import connected_components
 TILE = 1024
 #: Coordinates that order the vectors, and the bits of each; those that bound a tile.
 AXES, AXIS_BITS, BOX = 4, 12, 8
-#: Tiles in a block at most, and their bytes; parts of a label in which pairs of blocks are found.
-BLOCK, BLOCK_BYTES, SALTS = 16, 16 << 20, 16
+#: Tiles in a block at most, and their bytes.
+BLOCK, BLOCK_BYTES = 16, 16 << 20
+#: Axes of the grid on which pairs of blocks are found, and blocks of a part of a cell.
+GRID, PART = 3, 64
 #: Slack of the pruning bounds against rounding; the final check has none.
 SLACK = 1e-9
 
@@ -199,15 +201,30 @@ def _tiles(classes: DataFrame, axes: dict, tile: int) -> DataFrame:
 
 
 def _block_pairs(tiles: DataFrame, reach: float) -> DataFrame:
-    """pair_id, block, second: the blocks of each pair whose boxes come within reach, and which of the two it is."""
+    """pair_id, block, second: the blocks of each pair whose boxes come within reach, and which of the two it is. Boxes are
+    laid over a grid of width reach along GRID axes, the second widened by reach, and meet by equality of cells; of the
+    cells that two boxes share, that of their lowest corner counts. Where no cell keeps blocks apart, a cell is dealt
+    out in parts of PART blocks, so tasks grow in number and not in size."""
     sides = [f(F.get(c, F.lit(k))).alias(f"{c}{k}") for c, f in (("lo", F.min), ("hi", F.max)) for k in range(BOX)]
     blocks = checkpointed(tiles.groupBy("label", "dim", "block").agg(*sides))  # no vectors
-    salted = blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int"))
-    other = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    a, b = (df.select(*(F.col(c).alias(c + s) for c in df.columns)) for df, s in ((salted, "_a"), (other, "_b")))
-    met = a.join(b, (a.label_a == b.label_b) & (a.dim_a == b.dim_b) & (a.salt_a == b.salt_b) & (a.block_a <= b.block_b))
+    parts = max(1, -(-blocks.count() // PART))
+    width = max(reach, 1e-3)
+
+    def laid(more: float, suffix: str) -> DataFrame:
+        out = blocks
+        for k in range(GRID):  # shorter vectors have fewer axes
+            first, last = (F.coalesce(F.floor((F.col(f"{side}{k}") + d) / width), F.lit(0)) for side, d in (("lo", -more), ("hi", more)))
+            out = out.withColumn(f"first{k}", first).withColumn(f"cell{k}", F.explode(F.sequence(first, last)))
+        return out.select(*(F.col(c).alias(c + suffix) for c in out.columns))
+
+    a = laid(0.0, "_a").withColumn("part_a", F.pmod(F.xxhash64("block_a"), F.lit(parts)).cast("int"))
+    b = laid(reach, "_b").withColumn("part_b", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    same = (a.label_a == b.label_b) & (a.dim_a == b.dim_b) & (a.part_a == b.part_b) & (a.block_a <= b.block_b)
+    for k in range(GRID):
+        same = same & (a[f"cell{k}_a"] == b[f"cell{k}_b"]) & (a[f"cell{k}_a"] == F.greatest(a[f"first{k}_a"], b[f"first{k}_b"]))
+    met = a.join(b, same)
     gap = F.lit(0.0)
-    for k in range(BOX):  # shorter vectors have fewer axes
+    for k in range(BOX):
         apart = F.greatest(F.col(f"lo{k}_b") - F.col(f"hi{k}_a"), F.col(f"lo{k}_a") - F.col(f"hi{k}_b"), F.lit(0.0))
         gap = gap + F.coalesce(apart * apart, F.lit(0.0))
     near = checkpointed(met.where(gap <= reach * reach).select("block_a", "block_b").withColumn("pair_id", F.monotonically_increasing_id()))
