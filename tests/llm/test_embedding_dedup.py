@@ -91,3 +91,13 @@ def test_distant_boxes_are_not_compared(spark, monkeypatch):
     want = plain(rows)
     assert {k: v[:2] for k, v in got.items()} == want
     assert pairs[0].where("not second").count() < 30 * 31 / 2 / 2
+
+
+@pytest.mark.parametrize("dim, part", [(2, 1), (1, 2), (16, 2)])
+def test_pairs_by_grid_cells(spark, dim, part, monkeypatch):
+    """Blocks over many cells, with cells dealt out in many parts, meet once each: no link is lost or counted twice."""
+    monkeypatch.setattr(E, "PART", part)
+    monkeypatch.setattr(E, "BLOCK", 1)
+    rows = clustered(np.random.default_rng(dim), 150, dim)
+    got = run(spark, rows, 2)
+    assert {k: v[:2] for k, v in got.items()} == plain(rows)
