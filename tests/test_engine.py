@@ -557,6 +557,15 @@ def test_a_single_dataset_keeps_its_order(spark):
     assert [r.id for r in out.orderBy("position").collect()] == list(range(500)) and out.agg(F.max("position")).first()[0] == 500
 
 
+def test_a_mix_is_written_in_its_order(spark, tmp_path):
+    """Files in the order of their names hold the mix in its order."""
+    rows = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("dataset"))
+    out = mix.mixed(rows.repartition(5), mix.mix_plan(rows.groupBy("dataset").agg(F.count("*").alias("n"))), "dataset", ["id"])
+    mix.write_order(out).select(F.col("id").cast("string").alias("value")).write.text(str(tmp_path / "mix"))
+    read = readers.text_lines(spark, str(tmp_path / "mix"))
+    assert [int(r.text) for r in read.orderBy("file_path", "line_no").collect()] == [r.id for r in mix.positions(out).orderBy("position").collect()]
+
+
 def test_readers_without_size_limits(spark, tmp_path):
     (tmp_path / "a.json").write_text(' [{"x": 1},\n\n {"x":\n 2}]')
     (tmp_path / "b.json").write_text('{"x": 3}\n\n{"x": 4}\n{bad\n')
