@@ -131,7 +131,8 @@ class Model:
                 if some[i] and self.languages:
                     best = int(np.argmax(margin[i]))
                     names.append(self.languages[best])
-                    scores[at + i] = min(1.0, max(0.0, (margin[i, best] + 1) / 2))
+                    # to six places: the last bits of a float32 product depend on the batch and the machine
+                    scores[at + i] = round(min(1.0, max(0.0, (margin[i, best] + 1) / 2)), 6)
                     familiar[at + i] = known[i] + np.sqrt(total[i]) / 2 >= self.floors[best] * total[i]
                 else:
                     names.append("und")
