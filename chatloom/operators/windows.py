@@ -79,11 +79,13 @@ def byte_budget(rows: DataFrame, budget: int, order: list[str], size: Column) ->
     return out.where(F.col("cum_bytes") - F.col("bytes") < budget).select(*rows.columns, "bytes", "cum_bytes")
 
 
-def ordered_digest(rows: DataFrame, line: Column, by: list[str], order: list[str], size: int = 1024, levels: int | None = None) -> DataFrame:
+def ordered_digest(rows: DataFrame, line: Column, by: list[str], order: list[str], size: int = 1024, levels: int | None = None, open_top: bool = False) -> DataFrame:
     """by, n_lines, digest: a Merkle tree over the lines of each group in order. SHA-256 digests of lines are joined and
     hashed in runs of `size` ranks, and the runs' digests again, `levels` times (as often as the largest group needs,
     unless given). It tells any change, loss or swap of lines, and does not depend on partitions; lines equal in order are
-    put in the order of their digests. No task holds more than `size` digests of a group at a time."""
+    put in the order of their digests. No task holds more than `size` digests of a group at a time. With fewer levels than
+    the largest group needs it fails, unless `open_top`: then the last level joins all that the others leave, one digest for
+    each size ** (levels - 1) lines, so any number of lines has a digest in so many levels."""
     numbered = ordinals(rows.select(*by, *order, F.sha2(line, 256).alias("_h")), "_n", by, [*order, "_h"]).select(*by, "_n", "_h")
     level = checkpointed(numbered)
     counts = level.groupBy(*by).agg(F.count("*").alias("n_lines"))
@@ -91,8 +93,9 @@ def ordered_digest(rows: DataFrame, line: Column, by: list[str], order: list[str
         largest, levels = counts.agg(F.max("n_lines")).first()[0] or 1, 1
         while size**levels < largest:
             levels += 1
-    for _ in range(levels):
-        runs = level.groupBy(*by, F.floor(F.col("_n") / size).alias("_run")).agg(F.array_sort(F.collect_list(F.struct("_n", "_h"))).alias("_l"))
+    for at in range(levels):
+        run = F.lit(0).cast("long") if open_top and at == levels - 1 else F.floor(F.col("_n") / size)
+        runs = level.groupBy(*by, run.alias("_run")).agg(F.array_sort(F.collect_list(F.struct("_n", "_h"))).alias("_l"))
         level = runs.select(*by, F.col("_run").alias("_n"), F.sha2(F.array_join(F.transform("_l", lambda x: x["_h"]), ""), 256).alias("_h"))
     tops = level.groupBy(*by).agg(F.min_by("_h", "_n").alias("digest"), F.count("*").alias("_tops"))
     whole = F.when(F.col("_tops") == 1, F.col("digest")).otherwise(F.raise_error(F.lit("more lines than the levels hold")))

@@ -286,8 +286,8 @@ a AS (SELECT lang, n // 64 AS n, sha256(string_agg(h, '' ORDER BY n)) AS h FROM
 c AS (SELECT lang, sha256(string_agg(h, '' ORDER BY n)) AS digest FROM b GROUP BY ALL)
 SELECT c.lang, count(*) AS n_lines, digest FROM c JOIN documents ON c.lang IS NOT DISTINCT FROM documents.lang GROUP BY ALL""")
 def doc_ordered_digest(spark, sf_dir):
-    """A digest of each language's texts in order, in three levels of 64."""
-    return windows.ordered_digest(table(spark, sf_dir, "documents"), F.col("text"), ["lang"], ["doc_id"], 64, 3)
+    """A digest of each language's texts in order, in three levels: two of runs of 64, and one of all that is left, a digest for 4096 texts."""
+    return windows.ordered_digest(table(spark, sf_dir, "documents"), F.col("text"), ["lang"], ["doc_id"], 64, 3, open_top=True)
 
 
 @query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")

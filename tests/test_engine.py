@@ -236,6 +236,22 @@ def test_ordered_digest(spark):
         digest(rows, 1, levels=2)
 
 
+def test_ordered_digest_with_an_open_top(spark):
+    import hashlib
+
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    rows = [("a", i, f"line {i}") for i in range(70)] + [("b", 0, "x")]
+    df = spark.createDataFrame(rows, "g string, i int, t string").repartition(5)
+    digest = lambda levels: {x.g: (x.n_lines, x.digest) for x in windows.ordered_digest(df, F.col("t"), ["g"], ["i"], 4, levels, open_top=True).collect()}
+    lines = [sha(t) for _, _, t in rows[:70]]
+    fours = [sha("".join(lines[k : k + 4])) for k in range(0, 70, 4)]
+    sixteens = [sha("".join(fours[k : k + 4])) for k in range(0, len(fours), 4)]
+    assert len(sixteens) == 5  # more than a run holds
+    assert digest(3) == {"a": (70, sha("".join(sixteens))), "b": (1, sha(sha(sha(sha("x")))))}
+    assert digest(2)["a"] == (70, sha("".join(fours))) and digest(1)["a"] == (70, sha("".join(lines)))
+    assert digest(4)["a"] == (70, sha(sha("".join(sixteens[:4])) + sha(sixteens[4])))
+
+
 def test_walk_does_not_enter_skipped_directories(spark, tmp_path):
     from chatloom.sources import heads
 

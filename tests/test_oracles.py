@@ -90,3 +90,10 @@ def test_flagship(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_ordered_digest_of_a_language_of_more_than_three_levels_of_64(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i AS doc_id, 't' || i AS text, CASE WHEN i % 70000 < 3 THEN 'de' ELSE 'en' END AS lang FROM range({64**3 + 100}) r(i)) TO '{tmp_path}/documents.parquet'")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    same_rows(spark, con, "doc_ordered_digest", str(tmp_path))
