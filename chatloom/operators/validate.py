@@ -151,9 +151,11 @@ def search_gate(stars: Column, license_id: Column, description: Column, archived
 
 
 def download_action(df_cols: dict[str, Column], min_bytes: int, max_bytes: int) -> Column:
-    """struct(action, reason). df_cols: skip_reason, status, gated, api_bytes, declared_bytes, on_disk."""
+    """struct(action, reason). df_cols: skip_reason, status, gated, api_bytes, declared_bytes, on_disk. Sizes are compared
+    as they are given, and rounded only where a reason shows them."""
     c = df_cols
     size = F.coalesce(c["api_bytes"], c["declared_bytes"])
+    shown = F.round(size).cast("long").cast("string")
     skip = lambda r: F.struct(F.lit("skip").alias("action"), (r if isinstance(r, Column) else F.lit(r)).alias("reason"))
     return (
         F.when(c["skip_reason"].isNotNull(), skip(F.concat(F.lit("skip list: "), c["skip_reason"])))
@@ -161,8 +163,8 @@ def download_action(df_cols: dict[str, Column], min_bytes: int, max_bytes: int)
         .when(c["status"] == "unauthorized", skip("unauthorized"))
         .when(c["status"] == "api_error", skip("api_error"))
         .when(F.coalesce(c["gated"], F.lit(False)), skip("gated"))
-        .when(size > max_bytes, skip(F.concat(F.lit("too_large ("), size.cast("string"), F.lit(")"))))
-        .when(size < min_bytes, skip(F.concat(F.lit("too_small ("), size.cast("string"), F.lit(")"))))
+        .when(size > max_bytes, skip(F.concat(F.lit("too_large ("), shown, F.lit(")"))))
+        .when(size < min_bytes, skip(F.concat(F.lit("too_small ("), shown, F.lit(")"))))
         .when(F.coalesce(c["on_disk"], F.lit(False)), skip("already_downloaded"))
         .otherwise(F.struct(F.lit("download").alias("action"), F.lit("ok").alias("reason")))
     )

@@ -638,12 +638,12 @@ _SKIP = "CASE WHEN o_custkey % 50 = 0 THEN 'skip list: policy' WHEN o_orderprior
 @query(f"SELECT CASE WHEN r = 'ok' THEN 'download' ELSE 'skip' END AS action, trim(string_split(string_split(r, ' (')[1], ':')[1]) AS reason, count(*) AS n, sum(size)::BIGINT AS bytes FROM (SELECT {_SKIP} AS r, round(o_totalprice)::BIGINT AS size FROM orders) GROUP BY ALL")
 def plan_decisions(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    size = F.round("o_totalprice").cast("long")
+    size = F.col("o_totalprice")
     c = {
         "skip_reason": F.when(F.col("o_custkey") % 50 == 0, "policy"), "status": F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") % 3 == 0), "not_found").otherwise("ok"), "gated": F.col("o_custkey") % 11 == 0,
         "api_bytes": F.when(F.col("o_orderkey") % 2 == 0, size), "declared_bytes": size, "on_disk": F.col("o_orderkey") % 7 == 0,
     }
-    planned = o.select(validate.download_action(c, 20_000, 300_000).alias("p"), size.alias("size"))
+    planned = o.select(validate.download_action(c, 20_000, 300_000).alias("p"), F.round(size).cast("long").alias("size"))
     return planned.groupBy(F.col("p.action").alias("action"), validate.reason_group(F.col("p.reason")).alias("reason")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
 
 

@@ -97,3 +97,12 @@ def test_ordered_digest_of_a_language_of_more_than_three_levels_of_64(spark, tmp
     con.execute(f"COPY (SELECT i AS doc_id, 't' || i AS text, CASE WHEN i % 70000 < 3 THEN 'de' ELSE 'en' END AS lang FROM range({64**3 + 100}) r(i)) TO '{tmp_path}/documents.parquet'")
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
     same_rows(spark, con, "doc_ordered_digest", str(tmp_path))
+
+
+@pytest.mark.parametrize("name", ["plan_decisions"])
+def test_sizes_near_the_limits(spark, tmp_path, name):
+    prices = "[19999.4, 19999.5, 19999.99, 20000.0, 20000.01, 299999.5, 300000.0, 300000.01, 300000.49, 300000.5, 300000.99, NULL]"
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i AS o_orderkey, CASE WHEN i % 13 > 0 THEN i % 101 END AS o_custkey, [NULL, '1-URGENT', '2-HIGH'][1 + i % 3] AS o_orderpriority, unnest({prices})::DOUBLE AS o_totalprice FROM range(200) r(i)) TO '{tmp_path}/orders.parquet'")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet'")
+    same_rows(spark, con, name, str(tmp_path))
