@@ -19,14 +19,14 @@ def head(rows: DataFrame, n: int, order: list, by: list[str] | None = None) -> D
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
 
 
-def ranged(rows: DataFrame, *order: str) -> DataFrame:
+def ranged(rows: DataFrame, *order: str | Column) -> DataFrame:
     """rows range-partitioned by `order`, with the number of their partition in `_part`, written to the
     checkpoint folder. Range bounds are sampled and adaptive execution folds partitions, so whoever
     reads the partitions twice must read them from one place."""
     return checkpointed(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
 
 
-def ordinals(rows: DataFrame, name: str, by: list[str], order: list[str]) -> DataFrame:
+def ordinals(rows: DataFrame, name: str, by: list[str], order: list[str | Column]) -> DataFrame:
     """Adds each row's place in its group, from 0; without groups, its place among all rows. Two
     levels, so that a group in most of the rows is spread: range partitions number their own rows of
     a group, and the counts of earlier partitions, one row a partition and group, are added. Rows
@@ -83,10 +83,12 @@ def ordered_digest(rows: DataFrame, line: Column, by: list[str], order: list[str
     """by, n_lines, digest: a Merkle tree over the lines of each group in order. SHA-256 digests of lines are joined and
     hashed in runs of `size` ranks, and the runs' digests again, `levels` times (as often as the largest group needs,
     unless given). It tells any change, loss or swap of lines, and does not depend on partitions; lines equal in order are
-    put in the order of their digests. No task holds more than `size` digests of a group at a time. With fewer levels than
+    put in the order of their digests. Nulls are last; a null line counts and has a rank, but adds no digest, and a run of
+    null lines only has none either. No task holds more than `size` digests of a group at a time. With fewer levels than
     the largest group needs it fails, unless `open_top`: then the last level joins all that the others leave, one digest for
     each size ** (levels - 1) lines, so any number of lines has a digest in so many levels."""
-    numbered = ordinals(rows.select(*by, *order, F.sha2(line, 256).alias("_h")), "_n", by, [*order, "_h"]).select(*by, "_n", "_h")
+    nulls_last = [F.col(c).asc_nulls_last() for c in (*order, "_h")]
+    numbered = ordinals(rows.select(*by, *order, F.sha2(line, 256).alias("_h")), "_n", by, nulls_last).select(*by, "_n", "_h")
     level = checkpointed(numbered)
     counts = level.groupBy(*by).agg(F.count("*").alias("n_lines"))
     if levels is None:
@@ -96,7 +98,8 @@ def ordered_digest(rows: DataFrame, line: Column, by: list[str], order: list[str
     for at in range(levels):
         run = F.lit(0).cast("long") if open_top and at == levels - 1 else F.floor(F.col("_n") / size)
         runs = level.groupBy(*by, run.alias("_run")).agg(F.array_sort(F.collect_list(F.struct("_n", "_h"))).alias("_l"))
-        level = runs.select(*by, F.col("_run").alias("_n"), F.sha2(F.array_join(F.transform("_l", lambda x: x["_h"]), ""), 256).alias("_h"))
+        digests = F.filter(F.transform("_l", lambda x: x["_h"]), lambda h: h.isNotNull())
+        level = runs.select(*by, F.col("_run").alias("_n"), F.when(F.size(digests) > 0, F.sha2(F.array_join(digests, ""), 256)).alias("_h"))
     tops = level.groupBy(*by).agg(F.min_by("_h", "_n").alias("digest"), F.count("*").alias("_tops"))
     whole = F.when(F.col("_tops") == 1, F.col("digest")).otherwise(F.raise_error(F.lit("more lines than the levels hold")))
     named = tops.select(*(F.col(c).alias(f"_by_{c}") for c in by), whole.alias("digest"))

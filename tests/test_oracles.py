@@ -99,6 +99,15 @@ def test_ordered_digest_of_a_language_of_more_than_three_levels_of_64(spark, tmp
     same_rows(spark, con, "doc_ordered_digest", str(tmp_path))
 
 
+@pytest.mark.parametrize("doc_id", ["i", "i // 9", "CASE WHEN i % 5 > 0 THEN i END"])
+@pytest.mark.parametrize("text_is_null", ["FALSE", "i % 5 = 0", "i % 900 < 500", "i % 3 = 0"])
+def test_ordered_digest_of_nulls(spark, tmp_path, doc_id, text_is_null):
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT {doc_id} AS doc_id, CASE WHEN NOT ({text_is_null}) THEN 't' || i END AS text, ['en', 'de', NULL][1 + i % 3] AS lang FROM range(3000) r(i)) TO '{tmp_path}/documents.parquet'")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    same_rows(spark, con, "doc_ordered_digest", str(tmp_path))
+
+
 @pytest.mark.parametrize("name", ["plan_decisions", "skip_histogram"])
 def test_sizes_near_the_limits(spark, tmp_path, name):
     prices = "[19999.4, 19999.5, 19999.99, 20000.0, 20000.01, 299999.5, 300000.0, 300000.01, 300000.49, 300000.5, 300000.99, NULL]"
